@@ -1,8 +1,9 @@
 """SimHash near-duplicates with vantage-point trees.
 
-Fingerprints are routed through a tree of vantage points to shards. At each node those within the split distance go
-inside, the others outside, and by the triangle inequality only the inside ones at most RADIUS from the split can have
-partners outside, so these go both ways. Every pair within RADIUS then meets in some shard, which is searched exactly.
+Fingerprints are routed through trees of vantage points to shards, one tree for each half of the bits: of two
+fingerprints at most RADIUS = 3 bits apart, one half is at most 1 bit apart. At each node those within the split distance
+go inside, the others outside, and by the triangle inequality only inside ones closer to the split than that radius can
+have partners outside, so these go both ways. Every pair then meets in some shard, which is searched exactly.
 """
 
 from __future__ import annotations
@@ -49,12 +50,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 class Tree:
-    """Vantage points and split distances in arrays; children below zero are shards."""
+    """Vantage points and split distances in arrays; children below zero are shards. Distances are over the bits of mask."""
 
-    def __init__(self, sample: np.ndarray, shards: int, seed: int = 7):
+    def __init__(self, sample: np.ndarray, shards: int, mask: int, radius: int, seed: int = 7):
         self.point, self.split, self.inside, self.outside, self.shards = [], [], [], [], 0
+        self.mask, self.radius = np.uint64(mask), radius
         self.rng = np.random.default_rng(seed)
-        self.root = self._grow(np.unique(sample), shards)
+        self.root = self._grow(np.unique(sample & self.mask), shards)
 
     def _grow(self, sample: np.ndarray, shards: int) -> int:
         best = None
@@ -62,7 +64,7 @@ class Tree:
             for v in self.rng.choice(sample, 8):
                 d = np.bitwise_count(sample ^ v)
                 for m in np.unique(np.quantile(d, [0.4, 0.5, 0.6], method="lower")):
-                    inside, crossing = (d <= m).mean(), ((d > int(m) - RADIUS) & (d <= m)).mean()
+                    inside, crossing = (d <= m).mean(), ((d > int(m) - self.radius) & (d <= m)).mean()
                     larger = max(inside, 1 - inside + crossing)
                     if larger < 0.8 and (best is None or larger + crossing < best[0]):
                         best = (larger + crossing, v, int(m), d)
@@ -78,6 +80,7 @@ class Tree:
 
     def route(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Indices into x and their shards; an x near a split appears more than once."""
+        x = x & self.mask
         at, shard, todo = [], [], [(self.root, np.arange(len(x)))]
         while todo:
             node, i = todo.pop()
@@ -89,7 +92,7 @@ class Tree:
                 continue
             d = np.bitwise_count(x[i] ^ self.point[node]).astype(int)
             todo.append((self.inside[node], i[d <= self.split[node]]))
-            todo.append((self.outside[node], i[d > self.split[node] - RADIUS]))
+            todo.append((self.outside[node], i[d > self.split[node] - self.radius]))
         return (np.concatenate(at), np.concatenate(shard)) if at else (np.empty(0, int), np.empty(0, int))
 
 
@@ -108,24 +111,26 @@ def stars(x: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(members), np.concatenate(hubs)) if members else (np.empty(0, x.dtype), np.empty(0, x.dtype))
 
 
-def links(distinct: DataFrame, shard_rows: int = 2048, most_sample: int = 1 << 16, block_rows: int = 8192) -> DataFrame:
+def links(distinct: DataFrame, shard_rows: int = 4096, most_sample: int = 1 << 16, block_rows: int = 1 << 15, halves: int = 2) -> DataFrame:
     """a, b: links that join the same fingerprints (column fp, distinct) as all pairs within RADIUS do.
 
-    The tree is fit on a sample by hash of an eighth of the fingerprints, at most most_sample. A shard above block_rows,
-    which near copies can make, is searched as pairs of blocks in tasks of their own.
+    The trees are fit on a sample by hash of an eighth of the fingerprints, at most most_sample. A shard above
+    block_rows, which near copies can make, is searched as pairs of blocks in tasks of their own.
     """
     session = distinct.sparkSession
     n = distinct.count()
     wanted = min(most_sample, n // 8)
     sample = [r["fp"] for r in distinct.orderBy(F.xxhash64("fp"), "fp").limit(wanted).collect()] if wanted else []
-    tree = Tree(np.array(sample, np.int64).view(np.uint64), min(max(1, n // shard_rows), max(1, wanted // 16)))
-    shared = session.sparkContext.broadcast(tree)
+    bits = 64 // halves
+    trees = [Tree(np.array(sample, np.int64).view(np.uint64), min(max(1, n // shard_rows), max(1, wanted // 16)), ((1 << bits) - 1) << (bits * k), RADIUS // halves) for k in range(halves)]
+    shared = session.sparkContext.broadcast(trees)
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             x = batch["fp"].to_numpy()
-            at, shard = shared.value.route(x.view(np.uint64))
-            yield pd.DataFrame({"shard": shard, "fp": x[at]})
+            for k, tree in enumerate(shared.value):
+                at, shard = tree.route(x.view(np.uint64))
+                yield pd.DataFrame({"shard": shard + (k << 24), "fp": x[at]})
 
     routed = cut(distinct.select("fp").mapInPandas(route, "shard long, fp long"))
     big = {r["shard"]: -(-r["n"] // block_rows) for r in routed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_rows).collect()}
