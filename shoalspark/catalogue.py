@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from .plans import raster, relational, scoring, space  # noqa: F401  (they register their queries)
+from .sqlpair import QUERIES, SQL
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict:
-    return {}
+    return dict(SQL)
