@@ -7,8 +7,6 @@ over the distinct entities finds surrogates that two values share, or that some
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +24,7 @@ PATTERNS: dict[str, str] = {
     "ip": rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)",
     "person": rf"(?<![\p{{L}}]){_TITLE} \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?",
 }
+NO_ENTITY = "none"
 ANY = "|".join(PATTERNS.values())
 #: A cheap test that every text with an entity passes.
 HINT = rf"[0-9@]|{_TITLE} "
@@ -70,12 +69,11 @@ def _luhn(digits: Column) -> Column:
 
 
 def _card(value: Column, digest: Column) -> Column:
-    """Keeps length, separators, the first digit and whether the Luhn check holds."""
+    """Keeps length, separators and the first digit; the Luhn check holds as it does for the value."""
     drawn = F.concat(F.substring(value, 1, 1), _same_classes(F.substr(value, F.lit(2)), digest))
-    stem = F.regexp_replace(drawn, r"\d$", "0")
-    check = (10 - _luhn(F.regexp_replace(stem, r"\D", "")) % 10) % 10
-    valid = _luhn(F.regexp_replace(value, r"\D", "")) % 10 == 0
-    return F.when(valid, F.concat(F.regexp_replace(drawn, r"\d$", ""), check.cast("string"))).otherwise(drawn)
+    stem = F.regexp_replace(drawn, r"\d$", "")
+    check = (10 - _luhn(F.concat(F.regexp_replace(stem, r"\D", ""), F.lit("0"))) % 10) % 10
+    return F.concat(stem, check.cast("string"))
 
 
 def _iban(value: Column, digest: Column) -> Column:
@@ -110,7 +108,8 @@ def _surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column
     email = F.concat(_same_classes(local, d), F.when(attempt > 8, F.concat(F.lit("x"), F.substring(d, 1, 8))).otherwise(""), F.lit("@"), _same_classes(F.regexp_replace(domain, r"\.[A-Za-z]+$", ""), F.reverse(d)), F.lit(".example"))
     ip = F.concat_ws(".", (_byte(d, F.lit(0)) % 16 + 240).cast("string"), *[_byte(d, F.lit(i)).cast("string") for i in (1, 2, 3)])
     return (
-        F.when(kind == "email", email)
+        F.when(kind == NO_ENTITY, value)
+        .when(kind == "email", email)
         .when(kind == "iban", _iban(value, d))
         .when(kind == "phone", F.when(value.startswith("+"), F.concat(F.substring(value, 1, 2), _same_classes(F.substr(value, F.lit(3)), d))).otherwise(_same_classes(value, d)))
         .when(kind == "card", _card(value, d))
@@ -121,7 +120,12 @@ def _surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column
 
 
 def _kind(value: Column) -> Column:
-    return reduce(lambda made, k: made.when(value.rlike(f"^(?:{PATTERNS[k]})$"), k), list(PATTERNS)[1:], F.when(value.rlike(f"^(?:{PATTERNS['email']})$"), "email")).otherwise("person")
+    """The type of a match; long numbers that fail the Luhn check are no cards, and no entities (NO_ENTITY)."""
+    made = F.when(value.rlike(f"^(?:{PATTERNS['email']})$"), "email")
+    for k in list(PATTERNS)[1:]:
+        kind = F.when(_luhn(F.regexp_replace(value, r"\D", "")) % 10 == 0, k).otherwise(NO_ENTITY) if k == "card" else F.lit(k)
+        made = made.when(value.rlike(f"^(?:{PATTERNS[k]})$"), kind)
+    return made.otherwise("person")
 
 
 def _found(text: Column) -> Column:
@@ -157,7 +161,7 @@ def pseudonymise(docs: DataFrame, key: str = "surrogate-key-1", rounds: int = 24
     text = F.col("row.text")
     rows = docs.select(F.struct("*").alias("row"))
     found = rows.select(_found(text).alias("v")).where(F.size("v") > 0).select(F.explode("v").alias("value"))
-    entities = found.groupBy("value").agg(F.lit(1).alias("one")).select(_kind(F.col("value")).alias("kind"), "value")
+    entities = found.groupBy("value").agg(F.lit(1).alias("one")).select(_kind(F.col("value")).alias("kind"), "value").where(F.col("kind") != NO_ENTITY)
     drawn_anew = _repaired(entities, key, rounds).where("attempt > 0").select("value", "surrogate")
 
     marked = rows.select("row", _found(text).alias("v"))
