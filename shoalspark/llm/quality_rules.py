@@ -122,4 +122,7 @@ def ablations(led: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
 def keep_good(docs: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
     """The rows of docs that the policy keeps, with their columns as they are."""
     one = docs.select(F.struct("*").alias("doc_id"), F.col("text").alias("text"))
-    return verdicts(ledger(one), policy).where("kept").select("doc_id.*")
+    # A filter is pushed through projections by repeating their expressions, which here would nest without bound; it
+    # stays above one that is not deterministic, as the partition's number is to the optimizer.
+    judged = verdicts(ledger(one), policy).select("doc_id", "kept", F.spark_partition_id().alias("part"))
+    return judged.where(F.col("kept") & (F.col("part") >= 0)).select("doc_id.*")
