@@ -7,6 +7,8 @@ among the pieces of one length.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,25 +28,40 @@ MAX_TOKENS, END_ID = 2048, 1
 class WordIds(dict):
     """word bytes -> its ids as little-endian 32-bit bytes; at most limit words are held.
 
-    The tokenizer cuts at white space and looks at no word from another, so a text's ids are those of its words.
+    The tokenizer lowers cases, cuts at white space and between letters and punctuation, and looks at no piece from
+    another, so a text's ids are those of its pieces: lower-case words, with a full stop or comma after a letter and
+    before white space as a piece of its own. Texts with a mark of special tokens, whose case counts, keep their case.
     """
 
-    def __init__(self, path: str, limit: int = 200_000):
+    STOPS = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
+
+    def __init__(self, path: str, limit: int = 400_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= self.limit:
+    def split(self, text: str) -> list[bytes]:
+        raw = text.encode()
+        if b"<|" not in raw:
+            raw = self.STOPS.sub(rb" \1", raw.lower())
+        return raw.split()
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; the pieces that are not held are encoded together."""
+        split = [self.split(t) for t in texts]
+        missing = list(set().union(*split) - self.keys())
+        if len(self) + len(missing) > self.limit:
             self.clear()
-        ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
-
-    def of(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.encode().split()))
+            missing = list(set().union(*split))
+        made = self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
+        self.update(zip(missing, (np.array(m.ids, "<u4").tobytes() for m in made), strict=True))
+        out = [b"".join(map(self.__getitem__, words)) for words in split]
+        for word in missing:
+            if len(word) > 64:
+                del self[word]
+        return out
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:
@@ -58,10 +75,12 @@ def pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS, e
         ids_of = WordIds(tokenizer_path)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = ids_of.of(text or "") + end
-                n = len(ids) // 4
-                rows.extend((doc_id, at, min(max_tokens, n - at), zlib.crc32(ids[4 * at : 4 * (at + max_tokens)]), n) for at in range(0, n, max_tokens))
+            for first in range(0, len(batch), 256):
+                some = batch.iloc[first : first + 256]
+                for doc_id, ids in zip(some["doc_id"], ids_of.of([t or "" for t in some["text"]]), strict=True):
+                    ids += end
+                    n = len(ids) // 4
+                    rows.extend((doc_id, at, min(max_tokens, n - at), zlib.crc32(ids[4 * at : 4 * (at + max_tokens)]), n) for at in range(0, n, max_tokens))
             made = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
             yield made.astype({"doc_id": batch["doc_id"].dtype} if len(made) else {})
 
