@@ -7,9 +7,11 @@ among the pieces of one length.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,21 +28,27 @@ MAX_TOKENS, END_ID = 2048, 1
 
 
 class WordIds(dict):
-    """word bytes -> its ids as little-endian 32-bit bytes; at most limit words are held.
+    """word bytes -> its ids as little-endian 32-bit bytes; at most 2 * limit words are held.
 
     The tokenizer lowers cases, cuts at white space and between letters and punctuation, and looks at no piece from
     another, so a text's ids are those of its pieces: lower-case words, with a full stop or comma after a letter and
     before white space as a piece of its own. Texts with a mark of special tokens, whose case counts, keep their case.
+    Words that are not held are encoded together, a mark that is a token of its own after each; those of printable ASCII
+    alone need no normalizing, so their pieces go straight to the tokenizer's model.
     """
 
     STOPS = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
+    MARK = "\x01"
+    PLAIN = re.compile(r"[!-&(-;=-@\[-~]+").fullmatch  # no capitals, no apostrophe and no start of a special token
+    PIECES = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+").findall
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.tokenizer, self.limit, self.before = Tokenizer.from_file(path), limit, {}
+        (self.mark,) = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
 
     def split(self, text: str) -> list[bytes]:
         raw = text.encode()
@@ -48,15 +56,39 @@ class WordIds(dict):
             raw = self.STOPS.sub(rb" \1", raw.lower())
         return raw.split()
 
+    def encode(self, words: list[bytes], at_once: int = 256) -> None:
+        """Holds the ids of words."""
+        rest, tokenize = [], self.tokenizer.model.tokenize
+        for word in words:
+            text = word.decode()
+            if self.PLAIN(text):
+                self[word] = array("I", [t.id for p in self.PIECES(text) for t in tokenize(p)]).tobytes()
+            elif self.MARK in text:
+                self[word] = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+            else:
+                rest.append(word)
+        after = f" {self.MARK} "
+        blocks = [rest[i : i + at_once] for i in range(0, len(rest), at_once)]
+        made = self.tokenizer.encode_batch_fast([b" ".join(b).decode().replace(" ", after) + after for b in blocks], add_special_tokens=False)
+        for block, m in zip(blocks, made, strict=True):
+            ids = np.array(m.ids, "<u4")
+            raw, ends = ids.tobytes(), (4 * np.flatnonzero(ids == self.mark)).tolist()
+            self.update(zip(block, (raw[a:b] for a, b in zip([0, *(e + 4 for e in ends[:-1])], ends, strict=True)), strict=True))
+
     def of(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; the pieces that are not held are encoded together."""
+        """The ids of each text."""
         split = [self.split(t) for t in texts]
-        missing = list(set().union(*split) - self.keys())
-        if len(self) + len(missing) > self.limit:
+        if len(self) > self.limit:
+            self.before = dict(self)
             self.clear()
-            missing = list(set().union(*split))
-        made = self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-        self.update(zip(missing, (np.array(m.ids, "<u4").tobytes() for m in made), strict=True))
+        missing = []
+        for word in set().union(*split):
+            if word not in self:
+                if (held := self.before.get(word)) is None:
+                    missing.append(word)
+                else:
+                    self[word] = held
+        self.encode(missing)
         out = [b"".join(map(self.__getitem__, words)) for words in split]
         for word in missing:
             if len(word) > 64:
@@ -64,6 +96,12 @@ class WordIds(dict):
         return out
 
 
+@functools.lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One for all tasks of a Python worker."""
+    return WordIds(path)
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens: each document's ids and end_id, cut every max_tokens ids.
 
@@ -72,7 +110,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS, e
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of = WordIds(tokenizer_path)
+        ids_of = word_ids(tokenizer_path)
         for batch in batches:
             rows = []
             for first in range(0, len(batch), 256):

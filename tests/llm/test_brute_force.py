@@ -194,3 +194,16 @@ def test_pipeline(spark, sf):
     assert 0 < before
     made = corpus_pipeline.run(spark, sf)
     assert made.count() >= docs.count() > 0
+
+
+def test_words_have_the_ids_of_whole_texts():
+    from tokenizers import Tokenizer
+
+    path = registry.tokenizer_path(registry.WORD_TOKENIZER)
+    texts = ["", "It's don't we'LL x'", "a.b, c. D,\nE.", "<|endoftext|> <|EndOfText|>A<|startoftext|>", "a\x01b \x01 c\x00\x1c\x7fd\x85e", "é ́x É ÀB ß İ ǅ", "naïve café über größe Привет мир ΑΣ", "12345 3.14 $$$ a&&& --x-- [a]_b~`", "日本語 テキスト 👍🏽 a​b　c\xa0d", "x" * 5000, "'s 't '' 're<|", "< | <a |> a;b<c:d=e", "a . , .b ,c"]
+    whole = Tokenizer.from_file(path)
+    expected = [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    ids = packing.WordIds(path, limit=5)
+    for _ in range(2):
+        assert ids.of(texts) == expected
+        assert [ids.of([t])[0] for t in texts] == expected
