@@ -2,8 +2,7 @@
 
 Equal vectors are one class. The classes of a label are dealt to shards of bounded size; every shard is searched by the
 queries of every shard of its label, each pair of shards in a task of its own. Beams widen until a recall audit against
-brute force passes and no query's beam is full of links; what no beam settles is searched exactly. Cosines are verified
-in double precision.
+brute force passes; a query whose beam is full of links is searched exactly. Cosines are verified in double precision.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 from .common import cut, dealt_anew
 from .components import connected
 
-THRESHOLD, SHARD_ROWS = 0.93, 16_384
+THRESHOLD, SHARD_ROWS, MOST_TASKS = 0.93, 16_384, 20_000
 
 
 class Graph:
@@ -133,43 +132,41 @@ class Graph:
         return self._beam(q, self._enter(q, len(self.levels) - 1, self.levels[0][0][0]), self.levels[-1][1], width)
 
 
-def shard_links(index: np.ndarray, queries: np.ndarray, threshold: float = THRESHOLD, recall: float = 0.98, audit: int = 64, chunk: int = 256) -> list[np.ndarray]:
+def shard_links(index: np.ndarray, queries: np.ndarray, threshold: float = THRESHOLD, recall: float = 0.98, audit: int = 256, chunk: int = 256, own: bool = False) -> list[np.ndarray]:
     """For each query the indices of unit vectors in index with cosine at threshold or more, as far as found.
 
-    audit queries, spread over all, are held against brute force; beams double until recall passes. A query whose beam
-    holds links only is searched again with all of index, as is everything where the beam reaches a quarter of index.
+    Every query goes through the graph; one whose beam ends full of links may have more, and all of index is searched for
+    it. audit queries, spread over all, are held against brute force; beams double until recall passes, and only if a beam
+    as wide as index fails too, as in a graph that falls apart, is everything searched exactly. With own, index and queries
+    are the same vectors, and no link of a vector to itself counts for the recall.
     """
-    exact = lambda q: [np.flatnonzero(row >= threshold) for row in q @ index.T]
-    out: list[np.ndarray | None] = [None] * len(queries)
-    if len(index) <= 1024:
-        return [hit for at in range(0, len(queries), chunk) for hit in exact(queries[at : at + chunk])]
+
+    def exact(q: np.ndarray) -> list[np.ndarray]:
+        return [np.flatnonzero(row >= threshold) for at in range(0, len(q), chunk) for row in q[at : at + chunk] @ index.T]
+
     graph = Graph(index)
-    probes = np.unique(np.linspace(0, len(queries) - 1, audit).astype(int))
-    truth, width = exact(queries[probes]), 32
     slack = threshold - 1e-4  # the graph holds single precision
 
-    def by_beam(q: np.ndarray, width: int) -> tuple[list[np.ndarray], np.ndarray]:
+    def found(q: np.ndarray, width: int) -> list[np.ndarray]:
         ids, score = graph.search(q, width)
-        hits = []
-        for k in range(len(q)):
-            near = np.sort(ids[k][score[k] >= slack])
-            hits.append(near[index[near] @ q[k] >= threshold])
-        return hits, score[:, -1] >= slack
-
-    while 4 * width < len(index):
-        found, _ = by_beam(queries[probes], width)
-        if sum(map(len, found)) >= recall * sum(map(len, truth)):
-            break
-        width *= 2
-    else:
-        return [hit for at in range(0, len(queries), chunk) for hit in exact(queries[at : at + chunk])]
-    for at in range(0, len(queries), chunk):
-        q = queries[at : at + chunk]
-        hits, full = by_beam(q, width)
-        for k in np.flatnonzero(full):
-            hits[k] = exact(q[k : k + 1])[0]
-        out[at : at + chunk] = hits
-    return out
+        close = score >= slack
+        rows, at = np.nonzero(close)
+        near = ids[rows, at]
+        good = np.einsum("rd,rd->r", index[near], q[rows]) >= threshold
+        hits = np.split(near[good], np.cumsum(np.bincount(rows[good], minlength=len(q)))[:-1])
+        full = np.flatnonzero(close.all(1))
+        for k, hit in zip(full, exact(q[full]), strict=True):
+            hits[k] = hit
+        return hits
+
+    probes = np.unique(np.linspace(0, len(queries) - 1, audit).astype(int))
+    least = len(probes) if own else 0
+    truth, width = sum(map(len, exact(queries[probes]))) - least, min(32, len(index))
+    while sum(map(len, found(queries[probes], width))) - least < recall * truth:
+        if width == len(index):
+            return exact(queries)
+        width = min(2 * width, len(index))
+    return [hit for at in range(0, len(queries), chunk) for hit in found(queries[at : at + chunk], width)]
 
 
 def _hubs(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -195,7 +192,7 @@ def _pair(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
     second = np.flatnonzero((group["shard"] == shards[-1]).to_numpy())
     if group["i"].iloc[0] != group["j"].iloc[0] and len(shards) == 1:
         return pd.DataFrame({"node": [], "links": [], "hub": []}).astype("int64")
-    hits = shard_links(x[second], x[first], threshold)
+    hits = shard_links(x[second], x[first], threshold, own=len(shards) == 1)
     a, b = np.repeat(first, [len(h) for h in hits]), second[np.concatenate(hits)] if hits else np.empty(0, int)
     low, high = np.minimum(a, b), np.maximum(a, b)
     pair = np.unique(low[low != high] * len(x) + high[low != high])  # within one shard found from either end
@@ -228,7 +225,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, shard_rows
     dealt = classes.select(dealt_anew(F.col("label").cast("long")).alias("l"), F.col("dim").alias("d"), "label", "node", "v", "copies").join(sizes, ["l", "d"])
     dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("node"), F.col("k")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     dealt = dealt.select("label", "d", F.least("shard", "other").alias("i"), F.greatest("shard", "other").alias("j"), "shard", "node", F.col("v").alias("vector"), "copies")
-    found = cut(dealt.groupBy("label", "d", "i", "j").applyInPandas(lambda g: _pair(g, threshold), "node long, links long, hub long"))
+    # Pairs of shards cost time, not bytes, so by size they would be put together in few tasks.
+    pairs = sizes.agg(F.sum(F.expr("cast(k as long) * (k + 1) div 2"))).first()[0] or 1
+    found = cut(dealt.repartition(min(4 * pairs, MOST_TASKS), "label", "d", "i", "j").groupBy("label", "d", "i", "j").applyInPandas(lambda g: _pair(g, threshold), "node long, links long, hub long"))
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = connected(found, "node", "hub").withColumnsRenamed({"node": "n", "root": "root"})
     of = classes.join(counts, "node", "left").join(roots, F.col("node") == F.col("n"), "left").select("label", "v", "node", "least", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"))
