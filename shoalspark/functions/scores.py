@@ -122,3 +122,21 @@ def radii(wind: Column, quadrants: list[Column], at: int, default: float) -> lis
     """Wind radii with the default where the wind reaches at and all four are missing (-999)."""
     missing = reduce(lambda a, b: a & b, [q.isNull() | (q == -999) for q in quadrants])
     return [F.when((wind >= at) & missing, default).otherwise(F.when(q != -999, q)) for q in quadrants]
+
+
+def priority(place: Column, levels: int, zone_class: Column, year: Column) -> Column:
+    """Survey priority, larger wins: the place of its type among levels first, then the class, then the year."""
+    return F.pow(F.lit(10.0), 4 + levels - place) * (6 - zone_class) + year
+
+
+def domain_coefficient(storms: Column, exposure: Column, debris: Column, soft: Column, depth: Column, age: Column) -> Column:
+    """Decay coefficient of a cell from its sources of change.
+
+    Storms count on soft ground down to 40 m, tidal exposure (yearly, times age) on soft ground down to 20 m, debris
+    everywhere and as 0 where it is missing. Cells without depth or age are outside the domain: null.
+    """
+    ground = F.coalesce(soft > 0, F.lit(False))
+    s = F.when(ground & (depth <= 40), F.coalesce(bin_storms(storms), F.lit(1))).otherwise(1)
+    t = F.when(ground & (depth <= 20), F.coalesce(bin_tide(exposure * age), F.lit(1))).otherwise(1)
+    d = bin_debris(F.coalesce(debris, F.lit(0)))
+    return F.when(depth.isNotNull() & age.isNotNull(), coefficient(s, t, d))

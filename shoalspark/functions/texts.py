@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -70,3 +71,19 @@ def quality_weight(s: Column) -> tuple[Column, Column]:
     code = F.regexp_extract(s, r"(\d+)", 1).try_cast("int")
     doubtful = F.lower(s).rlike("approx|doubt|reported|unconfirmed|existence")
     return code, F.when(doubtful | code.between(2, 9), 3).otherwise(1)
+
+
+def in_base(number: Column, digits: str, width: int) -> Column:
+    """A whole number, at least 0, written with the digits given, the first of them as leading zeros up to width."""
+    powers = [1]
+    while powers[0] * len(digits) < 2**63:
+        powers.insert(0, powers[0] * len(digits))
+    n = number.cast("long")
+    digit = lambda p: F.substring(F.lit(digits), (F.call_function("div", n, F.lit(p)) % len(digits) + 1).cast("int"), F.lit(1))
+    return F.regexp_replace(F.concat(*map(digit, powers)), f"^{re.escape(digits[0])}{{0,{len(powers) - width}}}", "")
+
+
+def dates_in(s: Column) -> Column:
+    """All year-months of a text, or where it has none all years, distinct and sorted."""
+    months, years = (F.array_sort(F.array_distinct(F.regexp_extract_all(s, F.lit(p), F.lit(0)))) for p in (r"(?:18|19|20)\d{2}-(?:0[1-9]|1[0-2])", r"(?:18|19|20)\d{2}"))
+    return F.when(F.size(months) > 0, months).otherwise(years)

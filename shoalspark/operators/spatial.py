@@ -51,3 +51,21 @@ def band_mean(targets: DataFrame, curve: DataFrame, half_width: float) -> DataFr
     t = targets.select("t_id", F.col("x").alias("tx"), F.explode(F.array(b - 1, b, b + 1)).alias("b"))
     c = curve.select(F.col("x").alias("cx"), "value", b.alias("b"))
     return t.join(c, "b").where(F.abs(F.col("tx") - F.col("cx")) <= half_width).groupBy("t_id").agg(F.avg("value").alias("mean"), F.count(F.lit(1)).alias("n"))
+
+
+def box_pairs(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
+    """a_id, b_id of boxes (id, x0, y0, x1, y1) that touch or overlap, each pair once.
+
+    Boxes are joined on the tiles of the given size that they cover, so size should be about that of a common box. A pair
+    that shares several tiles counts in the one that holds the lower left corner of its overlap.
+    """
+    at = lambda c: F.floor(F.col(c) / size).cast("long")
+
+    def tiled(boxes: DataFrame, ident: str, p: str) -> DataFrame:
+        b = boxes.select(ident, *[F.col(c).alias(p + c) for c in ("x0", "y0", "x1", "y1")])
+        return b.withColumn("tx", F.explode(F.sequence(at(p + "x0"), at(p + "x1")))).withColumn("ty", F.explode(F.sequence(at(p + "y0"), at(p + "y1"))))
+
+    both = tiled(left, "a_id", "a").join(tiled(right, "b_id", "b"), ["tx", "ty"])
+    x, y = F.greatest("ax0", "bx0"), F.greatest("ay0", "by0")
+    met = both.where((x <= F.least("ax1", "bx1")) & (y <= F.least("ay1", "by1")))
+    return met.where((F.floor(x / size) == F.col("tx")) & (F.floor(y / size) == F.col("ty"))).select("a_id", "b_id")

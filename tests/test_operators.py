@@ -10,7 +10,10 @@ from shoalspark.functions import scores as S
 from shoalspark.functions import texts as X
 from shoalspark.operators import grid as G
 from shoalspark.operators import models as M
+from shoalspark.operators import spatial as P
 from shoalspark.operators import tabular as T
+from shoalspark.operators import terrain as R
+from shoalspark.operators.lineage import cut
 from shoalspark.sources import readers
 from shoalspark.streaming import increments
 
@@ -92,3 +95,42 @@ def test_stream_of_new_cells(spark, tmp_path):
         spark.createDataFrame([(k, 1.0)], "row int, z double").write.mode("append").parquet(source)
         increments.process_new(increments.new_cells(spark, source, "row int, z double"), lambda b: b.withColumn("z", F.col("z") * 2), out, str(tmp_path / "check"))
     assert sorted((r.row, r.z) for r in spark.read.parquet(out).collect()) == [(1, 2.0), (2, 2.0)]
+
+
+def test_flow_gathers_in_pits(spark):
+    cells = spark.createDataFrame([(0, j, float(abs(j - 37))) for j in range(60)] + [(5, 5, None), (9, 9, 1.0)], "row int, col int, z double")
+    found = {(r.row, r.col): r.cells for r in R.flow_accumulation(R.flow_direction(cells), cut).collect()}
+    assert found[0, 37] == 60 and found[0, 36] == 37 and found[0, 59] == 1 and found[9, 9] == 1 and (5, 5) not in found
+    assert R.flow_accumulation(R.flow_direction(cells.limit(0)), cut).count() == 0
+
+
+def test_curvature_of_a_bowl(spark):
+    cells = spark.createDataFrame([(i, j, float((i - 3) ** 2 + (j - 3) ** 2)) for i in range(7) for j in range(7)], "row int, col int, z double")
+    rows = R.curvature(cells, 1.0).collect()
+    assert len(rows) == 25 and {round(r.total, 9) for r in rows} == {-4.0}
+    assert {(r.row, r.col): r.profile for r in rows}[3, 3] == 0.0
+
+
+def test_aspect_of_planes(spark):
+    plane = lambda f: spark.createDataFrame([(i, j, float(f(i, j))) for i in range(3) for j in range(3)], "row int, col int, z double")
+    faces = [R.aspect(plane(f), 2.0).first().aspect for f in (lambda i, j: i, lambda i, j: -j, lambda i, j: -i, lambda i, j: j, lambda i, j: 4)]
+    assert faces == [pytest.approx(0), pytest.approx(90), pytest.approx(180), pytest.approx(270), -1.0]
+
+
+def test_bilinear_keeps_a_plane(spark):
+    coarse = spark.createDataFrame([(i, j, float(3 * i + j)) for i in range(4) for j in range(4)], "row int, col int, z double")
+    targets = spark.createDataFrame([(i, j) for i in range(16) for j in range(16)], "row int, col int")
+    got = {(r.row, r.col): r.z for r in R.bilinear(coarse, targets, 4).collect()}
+    assert len(got) == 256 and got[5, 6] == pytest.approx(3 * (5.5 / 4 - 0.5) + 6.5 / 4 - 0.5)
+
+
+def test_boxes_meet_once(spark):
+    schema = "id int, x0 double, y0 double, x1 double, y1 double"
+    a = spark.createDataFrame([(1, 0.0, 0.0, 100.0, 100.0), (2, -7.0, -7.0, -5.0, -5.0), (3, 10.0, 10.0, 10.0, 10.0)], schema).withColumnRenamed("id", "a_id")
+    b = spark.createDataFrame([(8, 10.0, 10.0, 55.0, 55.0), (9, -5.0, -5.0, -1.0, -1.0), (7, 500.0, 0.0, 600.0, 1.0)], schema).withColumnRenamed("id", "b_id")
+    assert sorted(map(tuple, P.box_pairs(a, b, 10.0).collect())) == [(1, 8), (2, 9), (3, 8)]
+
+
+def test_numbers_in_a_base_and_dates_of_a_text(spark):
+    assert values(spark, lambda x: X.in_base(x, "0123456789", 3), [0, 7, 1234567890123, 2**63 - 1], "long") == ["000", "007", "1234567890123", str(2**63 - 1)]
+    assert values(spark, X.dates_in, ["2001-05, 1999-12 and 2001-05", "1999 or 1850", "none", None], "string") == [["1999-12", "2001-05"], ["1850", "1999"], [], None]
