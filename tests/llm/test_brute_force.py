@@ -207,3 +207,18 @@ def test_words_have_the_ids_of_whole_texts():
     for _ in range(2):
         assert ids.of(texts) == expected
         assert [ids.of([t])[0] for t in texts] == expected
+
+
+def test_small_shards_and_hot_groups_go_through_the_graph():
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 5, 40, 300):
+        x = rng.normal(size=(n, 12))
+        x = np.r_[x, x[:2] + 0.01 * rng.normal(size=(min(n, 2), 12))]
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        hits = embeddings.shard_links(x, x, own=True)
+        assert [sorted(h) for h in hits] == [np.flatnonzero(r >= 0.93).tolist() for r in x @ x.T]
+    hot = np.r_[rng.normal(size=(1, 32)) + 0.05 * rng.normal(size=(700, 32)), rng.normal(size=(1300, 32))]
+    hot /= np.linalg.norm(hot, axis=1)[:, None]
+    found = [len(h) for h in embeddings.shard_links(hot, hot, own=True)]
+    truth = (hot @ hot.T >= 0.93).sum(1)
+    assert truth[:700].min() > 600 and sum(found) >= 0.99 * truth.sum() and all(a <= b for a, b in zip(found, truth, strict=True))
