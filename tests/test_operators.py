@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from shoalspark.functions import scores as S
 from shoalspark.functions import texts as X
 from shoalspark.operators import grid as G
+from shoalspark.operators import holes as H
 from shoalspark.operators import models as M
 from shoalspark.operators import spatial as P
 from shoalspark.operators import tabular as T
@@ -134,3 +135,11 @@ def test_boxes_meet_once(spark):
 def test_numbers_in_a_base_and_dates_of_a_text(spark):
     assert values(spark, lambda x: X.in_base(x, "0123456789", 3), [0, 7, 1234567890123, 2**63 - 1], "long") == ["000", "007", "1234567890123", str(2**63 - 1)]
     assert values(spark, X.dates_in, ["2001-05, 1999-12 and 2001-05", "1999 or 1850", "none", None], "string") == [["1999-12", "2001-05"], ["1850", "1999"], [], None]
+
+
+def test_holes_that_wind_and_leak(spark):
+    picture = ["#########", "#..#....#", "#.##.##.#", "#.....#.#", "####.##.#", "...#.#..#", "##.###.##", "#..#.#..#", "####.####"]
+    closed = {(i, j) for i, line in enumerate(picture) for j, c in enumerate(line) if c == "." and (i, j) not in {(5, 0), (5, 1), (5, 2), (6, 2), (7, 1), (7, 2), (7, 4), (8, 4)}}
+    cells = spark.createDataFrame([(i, j, 1.0 if c == "#" else None) for i, line in enumerate(picture) for j, c in enumerate(line)], "row int, col int, z double")
+    assert {(r.row, r.col) for r in H.enclosed(cells, cut).collect()} == closed
+    assert H.enclosed(cells.limit(0), cut).count() == 0
