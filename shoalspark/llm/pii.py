@@ -19,7 +19,8 @@ PATTERNS: dict[str, str] = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,5}(?:[ .-]?\d{2,5}){1,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\d-])",
-    "card": r"(?<![\w.-])[2-6]\d{3}(?:[ -]?\d){9,15}(?![\w-])",
+    # Five groups of four are a card and a number before or after it; a longer number before four groups of four is no part of the card.
+    "card": r"(?<![\w.-])(?:[2-6]\d{3}(?:[ -]\d{4}){4}(?![\w-])(?![ -]\d{4}(?!\d))|(?!\d{5,12}[ -][2-6]\d{3}(?:[ -]\d{4}){3}(?![\w-]))[2-6]\d{3}(?:[ -]?\d){9,15}(?![\w-]))",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)",
     "person": rf"(?<![\p{{L}}]){_TITLE} \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?",
@@ -119,17 +120,36 @@ def _surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column
     )
 
 
+def _valid_card(value: Column) -> Column:
+    return value.rlike(r"^[2-6]\d{3}(?:[ -]?\d){9,15}$") & (_luhn(F.regexp_replace(value, r"\D", "")) % 10 == 0)
+
+
+def _within(value: Column) -> Column:
+    """before, value, after of a match: of a long number that is no card, the first and then longest run of its groups that is one."""
+    whole = lambda: F.struct(F.lit("").alias("before"), value.alias("value"), F.lit("").alias("after"))
+    places, digit = F.sequence(F.lit(1), F.length(value)), lambda i: F.substr(value, i, F.lit(1)).rlike("[0-9]")
+    starts = F.filter(places, lambda i: digit(i) & ((i == 1) | ~digit(i - 1)))
+    ends = F.filter(places, lambda i: digit(i) & ~digit(i + 1))
+    runs = F.flatten(F.transform(starts, lambda a: F.transform(F.filter(ends, lambda b: b - a >= 12), lambda b: F.struct(a.alias("first"), (-b).alias("last")))))
+    part = lambda r: F.substr(value, r["first"], 1 - r["first"] - r["last"])
+    best = F.array_min(F.filter(runs, lambda r: _valid_card(part(r))))
+    split = F.transform(F.array(best), lambda r: F.struct(F.substr(value, F.lit(1), r["first"] - 1).alias("before"), part(r).alias("value"), F.substr(value, 1 - r["last"]).alias("after")))
+    number = value.rlike(r"^[2-6]\d{3}[\d -]{9,}$") & value.rlike(f"^(?:{PATTERNS['card']})$") & ~value.rlike(f"^(?:{PATTERNS['phone']})$") & ~_valid_card(value)
+    return F.when(number, F.coalesce(F.when(best.isNotNull(), F.get(split, F.lit(0))), whole())).otherwise(whole())
+
+
 def _kind(value: Column) -> Column:
     """The type of a match; long numbers that fail the Luhn check are no cards, and no entities (NO_ENTITY)."""
     made = F.when(value.rlike(f"^(?:{PATTERNS['email']})$"), "email")
     for k in list(PATTERNS)[1:]:
-        kind = F.when(_luhn(F.regexp_replace(value, r"\D", "")) % 10 == 0, k).otherwise(NO_ENTITY) if k == "card" else F.lit(k)
+        kind = F.when(_valid_card(value), k).otherwise(NO_ENTITY) if k == "card" else F.lit(k)
         made = made.when(value.rlike(f"^(?:{PATTERNS[k]})$"), kind)
     return made.otherwise("person")
 
 
 def _found(text: Column) -> Column:
-    return F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    """The matches of a text in order, as before, value, after; before and after stay as they are."""
+    return F.when(text.rlike(HINT), F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), _within)).otherwise(F.array().cast("array<struct<before:string,value:string,after:string>>"))
 
 
 def _repaired(entities: DataFrame, key: str, rounds: int) -> DataFrame:
@@ -160,7 +180,7 @@ def pseudonymise(docs: DataFrame, key: str = "surrogate-key-1", rounds: int = 24
     """
     text = F.col("row.text")
     rows = docs.select(F.struct("*").alias("row"))
-    found = rows.select(_found(text).alias("v")).where(F.size("v") > 0).select(F.explode("v").alias("value"))
+    found = rows.select(_found(text).alias("v")).where(F.size("v") > 0).select(F.explode("v.value").alias("value"))
     entities = found.groupBy("value").agg(F.lit(1).alias("one")).select(_kind(F.col("value")).alias("kind"), "value").where(F.col("kind") != NO_ENTITY)
     drawn_anew = _repaired(entities, key, rounds).where("attempt > 0").select("value", "surrogate")
 
@@ -168,15 +188,15 @@ def pseudonymise(docs: DataFrame, key: str = "surrogate-key-1", rounds: int = 24
     if not drawn_anew.isEmpty():
         # Texts with values drawn anew get a map of them, joined by the text itself: none meets rows of other texts.
         again = drawn_anew.withColumnsRenamed({"value": "drawn", "surrogate": "instead"})
-        pairs = rows.select(F.sha2(text, 256).alias("text_key"), F.explode(F.array_distinct(_found(text))).alias("value")).groupBy("text_key", "value").agg(F.lit(1).alias("one"))
+        pairs = rows.select(F.sha2(text, 256).alias("text_key"), F.explode(F.array_distinct(_found(text)["value"])).alias("value")).groupBy("text_key", "value").agg(F.lit(1).alias("one"))
         maps = pairs.join(again, F.col("value") == F.col("drawn")).groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("value", "instead"))).alias("anew"))
         marked = marked.withColumn("text_key", F.sha2(text, 256)).join(maps, "text_key", "left")
     else:
         marked = marked.withColumn("anew", F.lit(None).cast("map<string,string>"))
     each = marked.withColumn(
-        "s", F.transform("v", lambda x: F.struct(x.alias("value"), _kind(x).alias("kind"), F.try_element_at(F.col("anew"), x).alias("anew")))
+        "s", F.transform("v", lambda x: F.struct(x["before"].alias("before"), x["value"].alias("value"), x["after"].alias("after"), _kind(x["value"]).alias("kind"), F.try_element_at(F.col("anew"), x["value"]).alias("anew")))
     )
-    made = each.withColumn("s", F.transform("s", lambda x: F.struct(x["kind"].alias("kind"), F.coalesce(x["anew"], _surrogate(x["kind"], x["value"], F.lit(0), key)).alias("new"))))
+    made = each.withColumn("s", F.transform("s", lambda x: F.struct(x["kind"].alias("kind"), F.concat(x["before"], F.coalesce(x["anew"], _surrogate(x["kind"], x["value"], F.lit(0), key)), x["after"]).alias("new"))))
     gaps = F.split(text, ANY, -1)
     whole = F.when(F.size("s") == 0, text).otherwise(F.array_join(F.zip_with(gaps, F.transform("s", lambda x: x["new"]), lambda g, n: F.concat(F.coalesce(g, F.lit("")), F.coalesce(n, F.lit("")))), ""))
     if counts:
