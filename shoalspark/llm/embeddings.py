@@ -132,13 +132,14 @@ class Graph:
         return self._beam(q, self._enter(q, len(self.levels) - 1, self.levels[0][0][0]), self.levels[-1][1], width)
 
 
-def shard_links(index: np.ndarray, queries: np.ndarray, threshold: float = THRESHOLD, recall: float = 0.98, audit: int = 256, chunk: int = 256, own: bool = False) -> list[np.ndarray]:
+def shard_links(index: np.ndarray, queries: np.ndarray, threshold: float = THRESHOLD, recall: float = 0.98, audit: int = 256, chunk: int = 256, own: bool = False, enough: int = 64) -> list[np.ndarray]:
     """For each query the indices of unit vectors in index with cosine at threshold or more, as far as found.
 
-    Every query goes through the graph; one whose beam ends full of links may have more, and all of index is searched for
-    it. audit queries, spread over all, are held against brute force; beams double until recall passes, and only if a beam
-    as wide as index fails too, as in a graph that falls apart, is everything searched exactly. With own, index and queries
-    are the same vectors, and no link of a vector to itself counts for the recall.
+    A query whose beam ends full of links may have more, and all of index is searched for it. Other queries have only what
+    their beam finds, so they alone are audited: probes are drawn, audit at a time, until enough of them have links, and
+    held against brute force; beams double until recall passes. Where a quarter of the queries does not hold enough
+    probes, or a beam as wide as index fails, everything is searched exactly. With own, index and queries are the same
+    vectors, and no link of a vector to itself counts for the recall.
     """
 
     def exact(q: np.ndarray) -> list[np.ndarray]:
@@ -147,26 +148,37 @@ def shard_links(index: np.ndarray, queries: np.ndarray, threshold: float = THRES
     graph = Graph(index)
     slack = threshold - 1e-4  # the graph holds single precision
 
-    def found(q: np.ndarray, width: int) -> list[np.ndarray]:
+    def found(q: np.ndarray, width: int) -> tuple[list[np.ndarray], np.ndarray]:
         ids, score = graph.search(q, width)
         close = score >= slack
         rows, at = np.nonzero(close)
         near = ids[rows, at]
         good = np.einsum("rd,rd->r", index[near], q[rows]) >= threshold
         hits = np.split(near[good], np.cumsum(np.bincount(rows[good], minlength=len(q)))[:-1])
-        full = np.flatnonzero(close.all(1))
-        for k, hit in zip(full, exact(q[full]), strict=True):
+        full = close.all(1)
+        for k, hit in zip(np.flatnonzero(full), exact(q[full]), strict=True):
             hits[k] = hit
-        return hits
+        return hits, full
 
-    probes = np.unique(np.linspace(0, len(queries) - 1, audit).astype(int))
-    least = len(probes) if own else 0
-    truth, width = sum(map(len, exact(queries[probes]))) - least, min(32, len(index))
-    while sum(map(len, found(queries[probes], width))) - least < recall * truth:
+    def others(hits: list[np.ndarray], probes: np.ndarray) -> np.ndarray:
+        return np.array([int((h != p).sum()) if own else len(h) for h, p in zip(hits, probes, strict=True)], int)
+
+    order, width = np.random.default_rng(5).permutation(len(queries)), min(32, len(index))
+    while True:
+        held = linked = truth = at = 0
+        while linked < enough:
+            if at >= len(queries) / 4:
+                return exact(queries)
+            probes = order[at : at + audit]
+            hits, full = found(queries[probes], width)
+            probes, hits = probes[~full], [h for h, f in zip(hits, full, strict=True) if not f]
+            due = others(exact(queries[probes]), probes)
+            held, linked, truth, at = held + others(hits, probes).sum(), linked + (due > 0).sum(), truth + due.sum(), at + audit
+        if held >= recall * truth:
+            return [hit for at in range(0, len(queries), chunk) for hit in found(queries[at : at + chunk], width)[0]]
         if width == len(index):
             return exact(queries)
         width = min(2 * width, len(index))
-    return [hit for at in range(0, len(queries), chunk) for hit in found(queries[at : at + chunk], width)]
 
 
 def _hubs(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
