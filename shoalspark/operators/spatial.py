@@ -19,9 +19,10 @@ def near_pairs(left: DataFrame, right: DataFrame, distance: float) -> DataFrame:
     return l.join(r, ["bx", "by"]).select("a_id", "b_id", d2.alias("d2")).where(F.col("d2") <= distance * distance)
 
 
-def nearest(left: DataFrame, right: DataFrame, distance: float) -> DataFrame:
-    """a_id with the b_id nearest to it within distance (the smallest of equals), null if there is none."""
-    best = near_pairs(left, right, distance).groupBy("a_id").agg(F.min(F.struct("d2", "b_id")).alias("m"))
+def nearest(left: DataFrame, right: DataFrame, distance: float, others: bool = False) -> DataFrame:
+    """a_id with the b_id nearest to it within distance (the smallest of equals), null if there is none; with others, never itself."""
+    pairs = near_pairs(left, right, distance)
+    best = (pairs.where("a_id != b_id") if others else pairs).groupBy("a_id").agg(F.min(F.struct("d2", "b_id")).alias("m"))
     return left.select("a_id").join(best, "a_id", "left").select("a_id", F.col("m.b_id").alias("b_id"), F.sqrt("m.d2").alias("distance"))
 
 

@@ -33,6 +33,18 @@ def nearest_within(t: Tables):
     return n.select(F.col("a_id").alias("id"), F.col("b_id").alias("near"), F.round("distance", 6).alias("distance"))
 
 
+@query(f"""
+WITH p AS ({POINTS}),
+n AS (SELECT a.id, b.id AS near, sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) AS d FROM p a JOIN p b ON a.id <> b.id AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 100.0 ** 2),
+m AS (SELECT id, near, d, row_number() OVER (PARTITION BY id ORDER BY d, near) AS k FROM n)
+SELECT p.id, near, round(d, 6) AS distance FROM p LEFT JOIN (SELECT * FROM m WHERE k = 1) m USING (id)
+""")
+def nearest_other_within(t: Tables):
+    p = points(t)
+    n = P.nearest(p.withColumnRenamed("id", "a_id"), p.withColumnRenamed("id", "b_id"), 100.0, others=True)
+    return n.select(F.col("a_id").alias("id"), F.col("b_id").alias("near"), F.round("distance", 6).alias("distance"))
+
+
 _EDGES = " + ".join(f"CASE WHEN ({y1} > y) <> ({y2} > y) AND x < ({x2} - {x1}) * (y - {y1}) / ({y2} - {y1})::DOUBLE + {x1} THEN 1 ELSE 0 END" for (x1, y1), (x2, y2) in zip(RING, RING[1:] + RING[:1], strict=True))
 
 
