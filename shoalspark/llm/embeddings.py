@@ -1,18 +1,23 @@
 """Embedding near-duplicates by hierarchical navigable small-world graphs.
 
-Equal vectors are one class. The classes of a label are dealt to shards of bounded size; every shard is searched by the
-queries of every shard of its label, each pair of shards in a task of its own. Beams widen until a recall audit against
-brute force passes; a query whose beam is full of links is searched exactly. Cosines are verified in double precision.
+Equal vectors are one class. The classes of a label are dealt to shards of bounded size; each shard's graph is built once
+and written to the shared folder, and a task for each pair of shards of a label reads one graph and queries it with the
+other's vectors, so vectors are shuffled once. Beams widen until a recall audit against brute force passes; a query whose
+beam is full of links is searched exactly. Cosines are verified in double precision.
 """
 
 from __future__ import annotations
 
+import io
+import uuid
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, dealt_anew
+from .common import cut, dealt_anew, delete_folder, if_small, shared_dir
 from .components import connected
 
 THRESHOLD, SHARD_ROWS, MOST_TASKS = 0.93, 16_384, 20_000
@@ -29,6 +34,13 @@ class Graph:
         for level in range(int(height.max(initial=0)), -1, -1):
             self._grow(np.flatnonzero(height >= level), links * (2 if level == 0 else 1), beam)
 
+    @classmethod
+    def of_levels(cls, unit: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray]]) -> Graph:
+        """A graph that was built before."""
+        made = cls.__new__(cls)
+        made.x, made.levels = unit.astype(np.float32), levels
+        return made
+
     def _grow(self, nodes: np.ndarray, links: int, beam: int) -> None:
         near = np.full((len(self.x), links), -1, np.int64)
         self.levels.append((nodes, near))
@@ -132,7 +144,7 @@ class Graph:
         return self._beam(q, self._enter(q, len(self.levels) - 1, self.levels[0][0][0]), self.levels[-1][1], width)
 
 
-def shard_links(index: np.ndarray, queries: np.ndarray, threshold: float = THRESHOLD, recall: float = 0.98, audit: int = 256, chunk: int = 256, own: bool = False, enough: int = 64) -> list[np.ndarray]:
+def shard_links(index: np.ndarray, queries: np.ndarray, threshold: float = THRESHOLD, recall: float = 0.98, audit: int = 256, chunk: int = 256, own: bool = False, enough: int = 64, graph: Graph | None = None) -> list[np.ndarray]:
     """For each query the indices of unit vectors in index with cosine at threshold or more, as far as found.
 
     A query whose beam ends full of links may have more, and all of index is searched for it. Other queries have only what
@@ -145,7 +157,7 @@ def shard_links(index: np.ndarray, queries: np.ndarray, threshold: float = THRES
     def exact(q: np.ndarray) -> list[np.ndarray]:
         return [np.flatnonzero(row >= threshold) for at in range(0, len(q), chunk) for row in q[at : at + chunk] @ index.T]
 
-    graph = Graph(index)
+    graph = graph or Graph(index)
     slack = threshold - 1e-4  # the graph holds single precision
 
     def found(q: np.ndarray, width: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -194,26 +206,54 @@ def _hubs(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = least
 
 
-def _pair(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """node, links, hub of the vectors of one or two shards; links are counted in vectors, copies included."""
-    group = group.sort_values(["shard", "node"]).reset_index(drop=True)
-    shards = group["shard"].unique()
+def _store(folder: str):
+    from pyarrow.fs import FileSystem
+
+    return FileSystem.from_uri(folder)
+
+
+def _build(group: pd.DataFrame, folder: str) -> pd.DataFrame:
+    """Writes a shard's unit vectors, nodes, copies and graph as one file, whose name tells the attempt, and returns it."""
+    group = group.sort_values("node")
     x = np.array(group["vector"].tolist(), np.float64)
     x /= np.sqrt((x * x).sum(1))[:, None]
-    first = np.flatnonzero((group["shard"] == shards[0]).to_numpy())
-    second = np.flatnonzero((group["shard"] == shards[-1]).to_numpy())
-    if group["i"].iloc[0] != group["j"].iloc[0] and len(shards) == 1:
-        return pd.DataFrame({"node": [], "links": [], "hub": []}).astype("int64")
-    hits = shard_links(x[second], x[first], threshold, own=len(shards) == 1)
-    a, b = np.repeat(first, [len(h) for h in hits]), second[np.concatenate(hits)] if hits else np.empty(0, int)
-    low, high = np.minimum(a, b), np.maximum(a, b)
-    pair = np.unique(low[low != high] * len(x) + high[low != high])  # within one shard found from either end
-    a, b = pair // len(x), pair % len(x)
-    copies, links = group["copies"].to_numpy(), np.zeros(len(x), np.int64)
+    arrays = {"x": x, "node": group["node"].to_numpy(), "copies": group["copies"].to_numpy()}
+    for k, (nodes, near) in enumerate(Graph(x).levels):
+        arrays |= {f"nodes{k}": nodes.astype(np.int32), f"near{k}": near.astype(np.int32)}
+    made = io.BytesIO()
+    np.savez(made, **arrays)
+    store, root = _store(folder)
+    store.create_dir(root, recursive=True)
+    name = f"{uuid.uuid4().hex}.npz"
+    with store.open_output_stream(f"{root}/{name}", compression=None) as out:
+        out.write(made.getvalue())
+    return group.iloc[:1][["label", "d", "shard"]].assign(file=name)
+
+
+def _load(folder: str, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, Graph]:
+    store, root = _store(folder)
+    with store.open_input_file(f"{root}/{name}") as source, np.load(io.BytesIO(source.read())) as a:
+        levels = [(a[f"nodes{k}"].astype(np.int64), a[f"near{k}"].astype(np.int64)) for k in range(sum(n.startswith("nodes") for n in a.files))]
+        return a["x"], a["node"], a["copies"], Graph.of_levels(a["x"], levels)
+
+
+def _pair(folder: str, first: str, second: str, threshold: float) -> pd.DataFrame:
+    """node, links, hub of the vectors of one shard, or of two linked with each other; links are counted in vectors."""
+    x, node, copies, _ = _load(folder, first)
+    y, node_y, copies_y, graph = _load(folder, second)
+    own = first == second
+    hits = shard_links(y, x, threshold, own=own, graph=graph)
+    a, b = np.repeat(np.arange(len(x)), [len(h) for h in hits]), np.concatenate(hits) if hits else np.empty(0, int)
+    if own:  # found from either end
+        low, high = np.minimum(a, b), np.maximum(a, b)
+        pair = np.unique(low[low != high] * len(x) + high[low != high])
+        a, b = pair // len(x), pair % len(x)
+    else:
+        b, node, copies = b + len(x), np.append(node, node_y), np.append(copies, copies_y)
+    links = np.zeros(len(node), np.int64)
     np.add.at(links, a, copies[b])
     np.add.at(links, b, copies[a])
-    hub, some = _hubs(len(x), a, b), links > 0
-    node = group["node"].to_numpy()
+    hub, some = _hubs(len(node), a, b), links > 0
     return pd.DataFrame({"node": node[some], "links": links[some], "hub": node[hub[some]]})
 
 
@@ -226,28 +266,46 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, shard_rows
 
     Vectors link only within a label and a length. Null labels, and vectors that are null, empty, zero or hold null or
     non-finite components, link with nothing and are their own component. A null vec_id takes part but names no component
-    and is not kept. Repeated rows are vectors of their own, linked as copies. Other columns are not read.
+    and is not kept. Repeated rows, and rows that share an id or a vector alone, are vectors of their own. An empty table
+    gives no rows. Other columns are not read.
     """
     rows = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
-    usable = rows.where(_usable(F.col("label"), F.col("v")))
-    classes = usable.groupBy("label", "v").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
-    node = F.coalesce("least", -F.shiftrightunsigned(F.xxhash64("label", "v"), 1) - 1).cast("long")
-    classes = cut(classes.select("label", F.size("v").alias("dim"), "v", node.alias("node"), "least", "copies"))
-    sizes = classes.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias("k")).select(dealt_anew(F.col("label").cast("long")).alias("l"), F.col("dim").alias("d"), "k")
-    dealt = classes.select(dealt_anew(F.col("label").cast("long")).alias("l"), F.col("dim").alias("d"), "label", "node", "v", "copies").join(sizes, ["l", "d"])
-    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("node"), F.col("k")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    dealt = dealt.select("label", "d", F.least("shard", "other").alias("i"), F.greatest("shard", "other").alias("j"), "shard", "node", F.col("v").alias("vector"), "copies")
-    # Pairs of shards cost time, not bytes, so by size they would be put together in few tasks.
-    pairs = sizes.agg(F.sum(F.expr("cast(k as long) * (k + 1) div 2"))).first()[0] or 1
-    found = cut(dealt.repartition(min(4 * pairs, MOST_TASKS), "label", "d", "i", "j").groupBy("label", "d", "i", "j").applyInPandas(lambda g: _pair(g, threshold), "node long, links long, hub long"))
+    # Equal vectors are told by 128 bits of hash, so that no join carries vectors.
+    hashes = [F.xxhash64("label", "v").alias("h1"), F.xxhash64(F.lit("second"), F.col("label"), "v").alias("h2")]
+    usable = rows.where(_usable(F.col("label"), F.col("v"))).select("vec_id", "label", "v", *hashes)
+    classes = cut(usable.groupBy("h1", "h2").agg(F.first("label").alias("label"), F.first("v").alias("v"), F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies")))
+    # A class goes by its smallest id; of classes that share one, all but the first by a negative hash.
+    owner = classes.where("least is not null").groupBy("least").agg(F.min(F.struct("h1", "h2")).alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1").select(dealt_anew(F.col("least").cast("long")).alias("l"), "owner")
+    named = classes.withColumn("l", dealt_anew(F.col("least").cast("long"))).join(if_small(cut(owner)), "l", "left")
+    own = F.col("least").isNotNull() & (F.col("owner").isNull() | ((F.col("owner.h1") == F.col("h1")) & (F.col("owner.h2") == F.col("h2"))))
+    node = F.when(own, F.col("least")).otherwise(-F.shiftrightunsigned("h1", 1) - 1).cast("long")
+    classes = cut(named.select("h1", "h2", "label", F.size("v").alias("d"), "v", node.alias("node"), "least", "copies"))
+    sizes = cut(classes.groupBy("label", "d").agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias("k")))
+    per = sizes.select(dealt_anew(F.col("label").cast("long")).alias("l"), F.col("d").alias("of"), "k")
+    dealt = classes.join(if_small(per), (dealt_anew(F.col("label").cast("long")) == F.col("l")) & (F.col("d") == F.col("of")))
+    dealt = dealt.select("label", "d", F.pmod(F.xxhash64("node"), F.col("k")).cast("int").alias("shard"), "node", F.col("v").alias("vector"), "copies")
+    count = sizes.agg(F.sum("k"), F.sum(F.expr("cast(k as long) * (k + 1) div 2"))).first()
+    folder = f"{shared_dir(vectors.sparkSession).rstrip('/')}/graphs-{uuid.uuid4().hex}"
+    kind = vectors.schema["label"].dataType.simpleString()
+    # Shards and pairs of them cost time, not bytes, so by size they would be put together in few tasks.
+    shards = cut(dealt.repartition(min(4 * (count[0] or 1), MOST_TASKS), "label", "d", "shard").groupBy("label", "d", "shard").applyInPandas(lambda g: _build(g, folder), f"label {kind}, d int, shard int, file string"))
+    left, right = shards.select("label", "d", F.col("shard").alias("i"), F.col("file").alias("first")), shards.select(F.col("label").alias("m"), F.col("d").alias("e"), F.col("shard").alias("j"), F.col("file").alias("second"))
+    pairs = left.join(right, (F.col("label") == F.col("m")) & (F.col("d") == F.col("e")) & (F.col("i") <= F.col("j"))).select("first", "second")
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for first, second in zip(batch["first"], batch["second"], strict=True):
+                yield _pair(folder, first, second, threshold)
+
+    found = cut(pairs.repartition(min(4 * (count[1] or 1), MOST_TASKS), "first", "second").mapInPandas(search, "node long, links long, hub long"))
+    delete_folder(vectors.sparkSession, folder)
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
-    roots = connected(found, "node", "hub").withColumnsRenamed({"node": "n", "root": "root"})
-    of = classes.join(counts, "node", "left").join(roots, F.col("node") == F.col("n"), "left").select("label", "v", "node", "least", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"))
+    roots = connected(found, "node", "hub").withColumnsRenamed({"node": "n"})
+    of = classes.drop("v").join(counts, "node", "left").join(roots, F.col("node") == F.col("n"), "left").select("h1", "h2", "least", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"))
     of = cut(of)
     named = of.groupBy("root").agg(F.min("least").alias("component_id")).select(dealt_anew(F.col("root")).alias("r"), "component_id")
-    of = of.withColumn("r", dealt_anew(F.col("root"))).join(named, "r").select("label", "v", (F.col("copies") - 1 + F.col("links")).cast("long").alias("n_links"), "component_id")
-    # A computed label, so that both sides are dealt anew and a vector in very many rows can be split.
-    l, r = usable.select("vec_id", dealt_anew(F.col("label").cast("long")).alias("l"), "v"), of.select(dealt_anew(F.col("label").cast("long")).alias("l"), F.col("v").alias("of"), "n_links", "component_id")
-    linked = l.join(r.withColumnRenamed("l", "m"), (F.col("l") == F.col("m")) & (F.col("v") == F.col("of"))).select("vec_id", "n_links", "component_id")
+    of = of.withColumn("r", dealt_anew(F.col("root"))).join(named, "r").select(dealt_anew(F.col("h1")).alias("a"), F.col("h2").alias("b"), (F.col("copies") - 1 + F.col("links")).cast("long").alias("n_links"), "component_id")
+    # Computed hashes, so that both sides are dealt anew and a vector in very many rows can be split.
+    linked = usable.select("vec_id", dealt_anew(F.col("h1")).alias("a"), F.col("h2").alias("b")).join(of, ["a", "b"]).select("vec_id", "n_links", "component_id")
     alone = rows.where(~_usable(F.col("label"), F.col("v"))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -1,8 +1,8 @@
 """Mixing sources to target weights by Efraimidis-Spirakis keys (DataFrame functions only).
 
 A source's target takes whole epochs first, then documents in the order of exponential keys scaled by quality weight, as
-far as the token budget goes. Prefix sums run over key buckets, and only the bucket where the budget ends is sorted, so
-no task holds a source.
+far as the token budget goes. Prefix sums run over buckets of keys, and only the bucket where the budget ends is sorted,
+so no task holds a source.
 """
 
 from __future__ import annotations
@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, dealt_anew_text, words
+from .common import cut, dealt_anew_text, if_small, words
 
-WEIGHTS, CAP, BUCKETS = (5, 2, 1), 3, 1024
+WEIGHTS, CAP = (5, 2, 1), 3
+#: Buckets for each doubling of the key: at most 0.4 % of a source lies in one, whatever the scale of its weights.
+PER_OCTAVE, ROWS_PER_STEP = 64, 100_000_000
 NO_SOURCE = "\U0010ffff"  # sorts after every source, for null
 
 
@@ -46,23 +48,29 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     return share.select("source", "source_size", F.least(F.col("top").cast("double"), F.col("w") * level).alias("target"))
 
 
-def mix(docs: DataFrame, seed: int = 42, weight_col: str | None = None, buckets: int = BUCKETS) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken per input row.
+def _keyed(docs: DataFrame, seed: int, weight_col: str | None, *others: Column) -> DataFrame:
+    """doc_id, source, s (source, never null), size, key and others per input row."""
+    size = F.size(words(F.col("text"))).cast("long")
+    given = quality_weight(F.col("size")) if weight_col is None else F.greatest(F.coalesce(F.nanvl(F.col("given"), F.lit(None).cast("double")), F.lit(1e-6)), F.lit(1e-6))
+    weight = [F.col(weight_col).cast("double").alias("given")] if weight_col else []
+    source = F.col("source").cast("string")
+    rows = docs.select("doc_id", source.alias("source"), F.coalesce(source, F.lit(NO_SOURCE)).alias("s"), size.alias("size"), *weight, *others)
+    names = rows.columns[4 + len(weight) :]
+    return rows.select("doc_id", "source", "s", "size", (-F.log(_uniform(F.col("doc_id"), F.col("s"), F.col("size"), seed)) / given).alias("key"), *names)
 
-    taken is size times the epochs of the source, and once more for documents of the fractional part: those, by key,
-    whose middle lies within the budget. Null text has size 0 and takes nothing; null sources are one, the last. Null or
-    non-positive weights (weight_col) count as the least positive. Equal rows are documents of their own; if the budget
-    ends between them, some are taken.
+
+def _bucket(per_octave: int) -> Column:
+    """Rises with the key. The middle of the keys' range is at bucket 0; every source spreads over about six octaves."""
+    return F.floor(F.log2(F.greatest("key", F.lit(1e-300))) * per_octave).cast("int")
+
+
+def _ends(keyed: DataFrame) -> tuple[DataFrame, int]:
+    """One row a source: s, source_size, target, epochs, budget, end (bucket where the budget ends) and before (words of the buckets below).
+
+    Also the buckets an octave, which grow with the rows.
     """
-    size = F.size(words(F.col("text"))).cast("long")
-    given = quality_weight(F.col("size")) if weight_col is None else F.greatest(F.coalesce(F.col("given"), F.lit(1e-6)), F.lit(1e-6))
-    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), size.alias("size"), *([F.col(weight_col).cast("double").alias("given")] if weight_col else []))
-    key = -F.log(_uniform(F.col("doc_id"), F.coalesce("source", F.lit(NO_SOURCE)), F.col("size"), seed)) / given
-    keyed = cut(rows.select("doc_id", "source", F.coalesce("source", F.lit(NO_SOURCE)).alias("s"), "size", key.alias("key")))
-    bucket = F.floor(F.lit(buckets) * (1 - F.exp(-F.col("key")))).cast("int")
-    keyed = keyed.withColumn("bucket", bucket)
-    held = keyed.groupBy("s", "bucket").agg(F.first("source").alias("source"), F.sum("size").alias("words"))
-    held = cut(held)
+    per_octave = PER_OCTAVE * max(1, -(-keyed.count() // ROWS_PER_STEP))
+    held = cut(keyed.groupBy("s", _bucket(per_octave).alias("bucket")).agg(F.first("source").alias("source"), F.sum("size").alias("words")))
     sizes = held.groupBy("s").agg(F.first("source").alias("source"), F.sum("words").alias("source_size"))
     goal = targets(sizes.select("source", "source_size")).withColumn("s", F.coalesce("source", F.lit(NO_SOURCE))).drop("source")
     goal = goal.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
@@ -71,25 +79,53 @@ def mix(docs: DataFrame, seed: int = 42, weight_col: str | None = None, buckets:
     prefix = held.select("s", "bucket", "words", (F.sum("words").over(summed) - F.col("words")).alias("before"))
     ends = prefix.join(goal, "s").where((F.col("before") <= F.col("budget")) & (F.col("budget") < F.col("before") + F.col("words")))
     ends = ends.groupBy("s").agg(F.min("bucket").alias("end"), F.min("before").alias("before"))
-    known = cut(goal.join(ends, "s", "left")).select(dealt_anew_text(F.col("s")).alias("k"), "source_size", "target", "epochs", "budget", "end", "before")
-    all_rows = keyed.select(dealt_anew_text(F.col("s")).alias("k"), "doc_id", "source", "size", "key", "bucket").join(known, "k")
-    within = all_rows.where(~(F.col("bucket") == F.col("end")) | F.col("end").isNull())
-    clear = within.withColumn("once", F.coalesce((F.col("bucket") < F.col("end")).cast("long"), F.lit(0).cast("long")))
+    return cut(goal.join(ends, "s", "left")).select(dealt_anew_text(F.col("s")).alias("k"), "source_size", "target", "epochs", "budget", "end", "before"), per_octave
+
+
+def _with_ends(keyed: DataFrame, ends: DataFrame, per_octave: int) -> tuple[DataFrame, DataFrame]:
+    """Rows outside the bucket where their source's budget ends, with once (0 or 1), and the rows within it."""
+    rows = keyed.withColumn("k", dealt_anew_text(F.col("s"))).withColumn("bucket", _bucket(per_octave)).join(if_small(ends), "k")
+    within = F.coalesce(F.col("bucket") == F.col("end"), F.lit(False))
+    return rows.where(~within).withColumn("once", F.coalesce((F.col("bucket") < F.col("end")).cast("long"), F.lit(0).cast("long"))), rows.where(within)
+
+
+def _taken_once(last: DataFrame) -> DataFrame:
+    """Rows of ending buckets with once: 1 for those, by key, whose middle lies within the budget."""
     place = Window.partitionBy("k").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    last = all_rows.where(F.col("bucket") == F.col("end"))
-    last = last.withColumn("once", (F.col("before") + F.sum("size").over(place) - F.col("size") / 2 <= F.col("budget")).cast("long"))
-    return clear.unionByName(last).select("doc_id", "source", "size", "source_size", "target", (F.col("size") * (F.col("epochs") + F.col("once"))).alias("taken"))
-
-
-def mix_documents(docs: DataFrame, **options) -> DataFrame:
-    """docs with each row as often as the mix takes it (rows without words are not taken), all columns as they are."""
-    named = docs.select(F.struct("*").alias("doc_id"), "source", "text")
-    keyed = named.select(F.struct(F.col("doc_id.doc_id"), F.xxhash64("text").alias("text_key")).alias("doc_id"), "source", "text")
-    taken = mix(keyed, **options).where("taken > 0").select("doc_id.*", F.col("source").alias("of"), (F.col("taken") / F.col("size")).cast("int").alias("times"))
-    # Rows equal in id, source and text may be taken differently often; they share their total, the first rows one more.
-    rows = taken.groupBy("doc_id", "text_key", "of").agg(F.sum("times").alias("times"), F.count(F.lit(1)).alias("copies"))
-    rows = rows.withColumnsRenamed({"doc_id": "i", "text_key": "t"})
-    many = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("key"))
-    same = F.col("row.doc_id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("t")) & F.col("row.source").eqNullSafe(F.col("of"))
-    joined = many.join(rows, same)
-    return joined.select("row", F.explode(F.sequence(F.lit(1), F.ceil(F.col("times") / F.col("copies")).cast("int")))).select("row.*")
+    return last.withColumn("once", (F.col("before") + F.sum("size").over(place) - F.col("size") / 2 <= F.col("budget")).cast("long"))
+
+
+def mix(docs: DataFrame, seed: int = 42, weight_col: str | None = None) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken per input row.
+
+    taken is size times the epochs of the source, and once more for documents of the fractional part: those, by key,
+    whose middle lies within the budget. Null text has size 0 and takes nothing; null sources are one, the last. Null or
+    non-positive weights (weight_col) count as the least positive. Equal rows are documents of their own; if the budget
+    ends between them, some are taken. An empty table gives no rows. Columns but doc_id, source, text and weight_col are
+    not read.
+    """
+    keyed = cut(_keyed(docs, seed, weight_col))
+    clear, last = _with_ends(keyed, *_ends(keyed))
+    return clear.unionByName(_taken_once(last)).select("doc_id", "source", "size", "source_size", "target", (F.col("size") * (F.col("epochs") + F.col("once"))).alias("taken"))
+
+
+def mix_documents(docs: DataFrame, seed: int = 42, weight_col: str | None = None) -> DataFrame:
+    """docs with each row as often as mix() takes it, all columns as they are; rows without words are not taken.
+
+    Only the rows of the buckets where budgets end are joined and sorted; what becomes of the others follows from their
+    key and one row for their source. Of rows equal in id, source and size, as many are taken once more as mix() takes,
+    those of the smallest text hash first. Null and empty texts give no rows, null sources are one source, and an empty
+    table gives none.
+    """
+    keyed = cut(_keyed(docs, seed, weight_col))
+    ends, per_octave = _ends(keyed)
+    once = _taken_once(_with_ends(keyed, ends, per_octave)[1]).groupBy("s", "doc_id", "size", "key").agg(F.sum("once").alias("n_once"))
+    once = cut(once.where("n_once > 0")).select(F.col("s").alias("of"), F.col("doc_id").alias("i"), F.col("size").alias("n"), F.col("key").alias("at"), "n_once")
+    whole, last = _with_ends(_keyed(docs, seed, weight_col, F.struct("*").alias("row"), F.xxhash64("text").alias("text_key")), ends, per_octave)
+    same = (F.col("s") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("size") == F.col("n")) & (F.col("key") == F.col("at"))
+    copy = F.row_number().over(Window.partitionBy("s", "doc_id", "size", "key").orderBy("text_key"))
+    last = last.join(if_small(once), same, "left").withColumn("once", (F.coalesce("n_once", F.lit(0)) >= copy).cast("long"))
+    # Flags of one step at a time, so that no row is copied that is not taken.
+    times = F.when(F.col("size") > 0, F.col("epochs") + F.col("once")).otherwise(0).cast("int")
+    both = whole.select("row", times.alias("times")).unionAll(last.select("row", times.alias("times"))).where("times > 0")
+    return both.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")

@@ -1,8 +1,10 @@
 """Surrogates for personal data (DataFrame functions only).
 
-Entities are found by pattern and replaced by keyed surrogates of the same type and format. A surrogate depends on the
-key, the type and the value alone, so mentions of one value agree across the corpus without any join. A corpus-wide check
-over the distinct entities finds surrogates that two values share, or that some text already holds, and draws them anew.
+Entities are found by pattern and replaced by keyed surrogates of the same type and format. The surrogate hangs on the key
+and on the plain form of the value alone (digits of a number, a mailbox in lower case, each name of a person), and the
+mention's own format is put on afterwards, so mentions of one value agree across the corpus, however they are written,
+without any join. A corpus-wide check over the distinct plain values finds surrogates that two values share, or that the
+corpus already holds, and draws them anew.
 """
 
 from __future__ import annotations
@@ -10,25 +12,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, if_small
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _TITLE = r"(?:Mr|Mrs|Ms|Miss|Herr|Frau|Señora|Señor|Madame|Monsieur|Mme|Г-н|Г-жа)\.?"
-#: Type -> pattern; where two match at one place the first counts.
+#: What stands before a name without a title. Each is of a bounded length, as a lookbehind needs.
+_CUE = r"(?:[Nn]ame is |Name: |Mein Name ist |Me llamo |me llamo |nombre es |Je m'appelle |je m'appelle |nom est |[Мм]еня зовут |[Ss]igned by |[Rr]egards,\s|Sincerely,\s|Grüßen,?\s|Atentamente,\s|Cordialement,\s)"
+_NAME = r"\p{Lu}\p{L}++(?:[-’']\p{Lu}\p{L}++)?"
+_HEX = r"[0-9A-Fa-f]{1,4}+"
+_FIRST6 = r"(?:[23][0-9A-Fa-f]{3}|[Ff](?:[CcDd][0-9A-Fa-f]{2}|[Ee]80))"
+#: Type -> pattern; where two match at one place the first counts. No group repeats without bound: Java's matcher recurses
+#: on each repeat of a group, and a long text would overflow the stack. A domain has at most 127 labels by its own rules.
 PATTERNS: dict[str, str] = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,5}(?:[ .-]?\d{2,5}){1,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\d-])",
     # Five groups of four are a card and a number before or after it; a longer number before four groups of four is no part of the card.
     "card": r"(?<![\w.-])(?:[2-6]\d{3}(?:[ -]\d{4}){4}(?![\w-])(?![ -]\d{4}(?!\d))|(?!\d{5,12}[ -][2-6]\d{3}(?:[ -]\d{4}){3}(?![\w-]))[2-6]\d{3}(?:[ -]?\d){9,15}(?![\w-]))",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
+    "nino": r"(?<![A-Za-z0-9])[A-CEGHJ-PR-TW-Z][A-CEGHJ-NPR-TW-Z] ?\d{2} ?\d{2} ?\d{2} ?[A-D](?![A-Za-z0-9])",
     "ip": rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)",
-    "person": rf"(?<![\p{{L}}]){_TITLE} \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?",
+    "ipv6": rf"(?<![\w:.]){_FIRST6}:(?:(?:{_HEX}:){{6}}{_HEX}|(?:{_HEX}:){{0,5}}(?::{_HEX}){{1,6}})(?![\w:])",
+    "person": rf"(?<![\p{{L}}]){_TITLE} {_NAME}(?: {_NAME})?|(?=\p{{Lu}}\p{{L}})(?<={_CUE}){_NAME} {_NAME}",
 }
 NO_ENTITY = "none"
 ANY = "|".join(PATTERNS.values())
 #: A cheap test that every text with an entity passes.
-HINT = rf"[0-9@]|{_TITLE} "
+HINT = rf"[0-9@]|{_TITLE} |{_CUE}"
 #: Syllables of made-up names by script.
 SYLLABLES = {
     "latin": "ba be bo da de do fa ga go ka ke ko la le lo ma me mo na ne no pa pe po ra re ro sa se so ta te to va ve vo za ze zo".split(),
@@ -37,6 +47,9 @@ SYLLABLES = {
 }
 FEMALE = r"^(?:Mrs|Ms|Miss|Frau|Señora|Madame|Mme|Г-жа)"
 MALE = r"^(?:Mr|Herr|Señor|Monsieur|Г-н)"
+#: Endings of a name by script, after a female and after a male title.
+ENDINGS = {"latin": ("na", "n"), "cyrillic": ("на", "н"), "greek": ("να", "ν")}
+KEY_SETTING = "spark.shoalspark.surrogate.key"
 
 
 def _digest(key: str, *parts: Column) -> Column:
@@ -48,75 +61,128 @@ def _byte(digest: Column, i: Column) -> Column:
     return F.conv(F.substring(digest, (i % 32) * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
 
-def _same_classes(value: Column, digest: Column) -> Column:
-    """Digits become digits, letters letters of the same case; other characters stay."""
+def _chars(value: Column) -> Column:
+    return F.split(value, "")
+
+
+def _same_classes(value: Column, digest: Column, letters: str = "[a-z]") -> Column:
+    """Digits become digits and letters letters of the same case; other characters stay."""
 
     def one(c: Column, i: Column) -> Column:
         b = _byte(digest, i)
-        return (
-            F.when(c.rlike("[0-9]"), (b % 10).cast("string"))
-            .when(c.rlike("[a-z]"), F.char(b % 26 + 97))
-            .when(c.rlike("[A-Z]"), F.char(b % 26 + 65))
-            .otherwise(c)
-        )
+        return F.when(c.rlike("[0-9]"), (b % 10).cast("string")).when(c.rlike(letters), F.char(b % 26 + 97)).when(c.rlike("[A-Z]"), F.char(b % 26 + 65)).otherwise(c)
+
+    return F.array_join(F.transform(_chars(value), one), "")
+
 
-    return F.array_join(F.transform(F.split(value, ""), one), "")
+def _hex_digits(value: Column, digest: Column) -> Column:
+    return F.array_join(F.transform(_chars(value), lambda c, i: F.when(c.rlike("[0-9a-f]"), F.lower(F.hex(_byte(digest, i) % 16))).otherwise(c)), "")
 
 
 def _luhn(digits: Column) -> Column:
     """Luhn sum of a digit string, its last digit a check digit."""
-    each = F.transform(F.split(F.reverse(digits), ""), lambda c, i: F.when(i % 2 == 0, c.cast("int")).otherwise((c.cast("int") * 2) % 10 + F.when(c.cast("int") >= 5, 1).otherwise(0)))
+    each = F.transform(_chars(F.reverse(digits)), lambda c, i: F.when(i % 2 == 0, c.cast("int")).otherwise((c.cast("int") * 2) % 10 + F.when(c.cast("int") >= 5, 1).otherwise(0)))
     return F.aggregate(each, F.lit(0), lambda a, x: a + x)
 
 
-def _card(value: Column, digest: Column) -> Column:
-    """Keeps length, separators and the first digit; the Luhn check holds as it does for the value."""
-    drawn = F.concat(F.substring(value, 1, 1), _same_classes(F.substr(value, F.lit(2)), digest))
-    stem = F.regexp_replace(drawn, r"\d$", "")
-    check = (10 - _luhn(F.concat(F.regexp_replace(stem, r"\D", ""), F.lit("0"))) % 10) % 10
+def _card(digits: Column, digest: Column) -> Column:
+    """Keeps length and the first digit; the Luhn check holds as it does for the value."""
+    stem = F.concat(F.substring(digits, 1, 1), _same_classes(F.substr(digits, F.lit(2), F.length(digits) - 2), digest))
+    check = (10 - _luhn(F.concat(stem, F.lit("0"))) % 10) % 10
     return F.concat(stem, check.cast("string"))
 
 
 def _iban(value: Column, digest: Column) -> Column:
-    """Keeps country, length and spaces; the two check digits are right for the new number."""
+    """Keeps country and length; the two check digits are right for the new number."""
     body = _same_classes(F.substr(value, F.lit(5)), digest)
-    moved = F.concat(F.regexp_replace(body, " ", ""), F.substring(value, 1, 2), F.lit("00"))
-    rest = F.aggregate(
-        F.split(moved, ""), F.lit(0), lambda a, c: F.when(c.rlike("[0-9]"), (a * 10 + c.try_cast("int")) % 97).otherwise((a * 100 + F.ascii(c) - 55) % 97)
-    )
+    moved = F.concat(body, F.substring(value, 1, 2), F.lit("00"))
+    rest = F.aggregate(_chars(moved), F.lit(0), lambda a, c: F.when(c.rlike("[0-9]"), (a * 10 + c.try_cast("int")) % 97).otherwise((a * 100 + F.ascii(c) - 55) % 97))
     return F.concat(F.substring(value, 1, 2), F.lpad((98 - rest).cast("string"), 2, "0"), body)
 
 
-def _person(value: Column, key: str, attempt: Column) -> Column:
-    """Keeps the title, the number of names, script and gender (a given name after a female title ends in a, a male in n)."""
-    title, names = F.regexp_extract(value, rf"^({_TITLE}) ", 1), F.split(F.regexp_replace(value, rf"^{_TITLE} ", ""), " ")
-
-    def one(name: Column, i: Column) -> Column:
-        d = _digest(key, F.lit("name"), name, attempt)
-        made = lambda script: F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.get(F.array(*map(F.lit, SYLLABLES[script])), _byte(d, k) % len(SYLLABLES[script]))), "")
-        base = F.when(name.rlike(r"\p{IsCyrillic}"), made("cyrillic")).when(name.rlike(r"\p{IsGreek}"), made("greek")).otherwise(made("latin"))
-        female, male = F.when(name.rlike(r"\p{IsCyrillic}"), "на").when(name.rlike(r"\p{IsGreek}"), "να").otherwise("na"), F.when(name.rlike(r"\p{IsCyrillic}"), "н").when(name.rlike(r"\p{IsGreek}"), "ν").otherwise("n")
-        given = (i == 0) & (F.size(names) > 1)
-        return F.initcap(F.concat(base, F.when(given & value.rlike(FEMALE), female).when(given & value.rlike(MALE), male).otherwise("")))
+def _by_script(name: Column, latin, cyrillic, greek) -> Column:
+    return F.when(name.rlike(r"\p{IsCyrillic}"), cyrillic).when(name.rlike(r"\p{IsGreek}"), greek).otherwise(latin)
 
-    return F.concat(title, F.lit(" "), F.array_join(F.transform(names, one), " "))
 
+def _made_name(digest: Column, attempt: Column, name: Column) -> Column:
+    """Lower-case syllables of the name's script: four, and three more after every fourth attempt, so that space never ends.
 
-def _surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
-    """The surrogate of a value; see the functions by type."""
-    d = _digest(key, kind, value, attempt)
-    local, domain = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
-    email = F.concat(_same_classes(local, d), F.when(attempt > 8, F.concat(F.lit("x"), F.substring(d, 1, 8))).otherwise(""), F.lit("@"), _same_classes(F.regexp_replace(domain, r"\.[A-Za-z]+$", ""), F.reverse(d)), F.lit(".example"))
+    With an ending of one or two letters the lengths of the three forms never meet, so different syllables stay different.
+    """
+    count = 3 + 3 * F.least(F.floor(attempt / 4), F.lit(4)).cast("int")
+    made = lambda script: F.array_join(F.transform(F.sequence(F.lit(0), count), lambda k: F.get(F.array(*map(F.lit, SYLLABLES[script])), _byte(digest, k) % len(SYLLABLES[script]))), "")
+    return _by_script(name, *map(made, SYLLABLES))
+
+
+def _core(kind: Column, plain: Column, attempt: Column, key: str) -> Column:
+    """The plain surrogate of a plain value."""
+    d = _digest(key, kind, plain, attempt)
+    local, domain = F.substring_index(plain, "@", 1), F.substring_index(plain, "@", -1)
+    stem = F.regexp_replace(domain, r"\.[a-z]+$", "")
+    wider = F.when(attempt > 2, F.concat(F.lit("x"), F.substring(d, 1, 8))).otherwise("")
+    # All mailboxes of a domain go to one domain.
+    email = F.concat(_same_classes(local, d), wider, F.lit("@"), _same_classes(stem, _digest(key, F.lit("domain"), domain)), F.lit(".example"))
     ip = F.concat_ws(".", (_byte(d, F.lit(0)) % 16 + 240).cast("string"), *[_byte(d, F.lit(i)).cast("string") for i in (1, 2, 3)])
     return (
-        F.when(kind == NO_ENTITY, value)
+        F.when(kind == "name", _made_name(d, attempt, plain))
         .when(kind == "email", email)
-        .when(kind == "iban", _iban(value, d))
-        .when(kind == "phone", F.when(value.startswith("+"), F.concat(F.substring(value, 1, 2), _same_classes(F.substr(value, F.lit(3)), d))).otherwise(_same_classes(value, d)))
-        .when(kind == "card", _card(value, d))
-        .when(kind == "ssn", F.concat(F.lit("9"), _same_classes(F.substr(value, F.lit(2)), d)))
-        .when(kind == "ip", ip)
-        .otherwise(_person(value, key, attempt))
+        .when(kind == "iban", _iban(plain, d))
+        .when(kind == "phone", F.when(plain.startswith("+"), F.concat(F.substring(plain, 1, 2), _same_classes(F.substr(plain, F.lit(3)), d))).otherwise(_same_classes(plain, d)))
+        .when(kind == "card", _card(plain, d))
+        .when(kind == "ssn", F.concat(F.lit("9"), _same_classes(F.substr(plain, F.lit(2)), d)))
+        .when(kind == "nino", F.concat(F.lit("Q"), _same_classes(F.substr(plain, F.lit(2), F.lit(7)), d), F.char(_byte(d, F.lit(9)) % 4 + 65)))
+        .when(kind == "ipv6", F.concat(F.lit("fd"), _hex_digits(F.substr(plain, F.lit(3)), d)))
+        .otherwise(ip)
+    )
+
+
+def _plain(kind: Column, value: Column) -> Column:
+    """The value without its format; values of a type that differ in it alone are one. Persons are taken apart by _parts."""
+    digits = F.regexp_replace(value, r"\D", "")
+    return (
+        F.when(kind.isin("email", "ipv6"), F.lower(value))
+        .when(kind == "phone", F.concat(F.when(value.startswith("+"), "+").otherwise(""), digits))
+        .when(kind.isin("card", "ssn"), digits)
+        .when(kind.isin("iban", "nino"), F.regexp_replace(value, " ", ""))
+        .otherwise(value)
+    )
+
+
+def _title_and_names(value: Column) -> tuple[Column, Column]:
+    return F.regexp_extract(value, rf"^{_TITLE} ", 0), F.split(F.regexp_replace(value, rf"^{_TITLE} ", ""), " ")
+
+
+def _parts(kind: Column, value: Column) -> Column:
+    """The plain values of an entity, as an array of structs of kind and plain: each name of a person, else the one value."""
+    pair = lambda k, p: F.struct(k.alias("kind"), p.alias("plain"))
+    names = F.transform(_title_and_names(value)[1], lambda n: pair(F.lit("name"), F.lower(n)))
+    return F.when(kind == "person", names).otherwise(F.array(pair(kind, _plain(kind, value))))
+
+
+def _formatted(value: Column, core: Column) -> Column:
+    """core with the separators of value: the n-th letter, digit or plus sign of value becomes the n-th character of core."""
+    place = lambda i: F.length(F.regexp_replace(F.substr(value, F.lit(1), i + 1), r"[^0-9A-Za-z+]", ""))
+    return F.array_join(F.transform(_chars(value), lambda c, i: F.when(c.rlike(r"[0-9A-Za-z+]"), F.substr(core, place(i), F.lit(1))).otherwise(c)), "")
+
+
+def _surrogate(kind: Column, value: Column, key: str, anew: Column) -> Column:
+    """The surrogate of a mention. anew maps kind and plain value, joined by a colon, to cores drawn anew."""
+    known = lambda k, p: F.coalesce(F.try_element_at(anew, F.concat(k, F.lit(":"), p)), _core(k, p, F.lit(0), key))
+    core = known(kind, _plain(kind, value))
+    title, names = _title_and_names(value)
+    ending = lambda n, at: _by_script(n, *[e[at] for e in ENDINGS.values()])
+
+    def name(n: Column) -> Column:
+        whole = F.concat(known(F.lit("name"), F.lower(n)), F.when(title.rlike(FEMALE), ending(n, 0)).when(title.rlike(MALE), ending(n, 1)).otherwise(""))
+        return F.when(n == F.upper(n), F.upper(whole)).otherwise(F.initcap(whole))
+
+    cased = F.array_join(F.transform(_chars(core), lambda c, i: F.when((i < F.length(core) - 8) & F.substr(value, i + 1, F.lit(1)).rlike("[A-Z]"), F.upper(c)).otherwise(c)), "")
+    return (
+        F.when(kind == NO_ENTITY, value)
+        .when(kind == "email", cased)
+        .when(kind == "ip", core)
+        .when(kind == "person", F.concat(title, F.array_join(F.transform(names, name), " ")))
+        .otherwise(_formatted(value, core))
     )
 
 
@@ -141,7 +207,7 @@ def _within(value: Column) -> Column:
 def _kind(value: Column) -> Column:
     """The type of a match; long numbers that fail the Luhn check are no cards, and no entities (NO_ENTITY)."""
     made = F.when(value.rlike(f"^(?:{PATTERNS['email']})$"), "email")
-    for k in list(PATTERNS)[1:]:
+    for k in [k for k in PATTERNS if k not in ("email", "person")]:
         kind = F.when(_valid_card(value), k).otherwise(NO_ENTITY) if k == "card" else F.lit(k)
         made = made.when(value.rlike(f"^(?:{PATTERNS[k]})$"), kind)
     return made.otherwise("person")
@@ -152,51 +218,59 @@ def _found(text: Column) -> Column:
     return F.when(text.rlike(HINT), F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), _within)).otherwise(F.array().cast("array<struct<before:string,value:string,after:string>>"))
 
 
-def _repaired(entities: DataFrame, key: str, rounds: int) -> DataFrame:
-    """kind, value, surrogate over distinct entities, no surrogate twice and none equal to a value of the corpus."""
-    at = entities.withColumn("attempt", F.lit(0)).withColumn("surrogate", _surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key))
-    at = cut(at)
+def _repaired(plains: DataFrame, key: str, rounds: int) -> DataFrame:
+    """kind, plain, core over distinct plain values, no core twice and none equal to a plain value of the corpus."""
+    drawn_for = lambda df: cut(df.withColumn("core", _core(F.col("kind"), F.col("plain"), F.col("attempt"), key)))
+    at = drawn_for(plains.withColumn("attempt", F.lit(0)))
     for _ in range(rounds):
-        # A surrogate belongs to the text's own value if there is one, else to the smallest value that drew it.
-        drawn = at.select("surrogate", F.struct(F.lit(1).alias("late"), "kind", "value").alias("by"))
-        held = at.select(F.col("value").alias("surrogate"), F.struct(F.lit(0).alias("late"), "kind", "value").alias("by"))
-        taken = drawn.unionAll(held).groupBy("surrogate").agg(F.min("by").alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        lost = taken.select(F.col("surrogate").alias("s"), F.col("owner").alias("o"))
-        clash = at.join(lost, F.col("surrogate") == F.col("s"), "left_outer")
-        again = F.col("o").isNotNull() & ((F.col("o.late") == 0) | (F.col("o.value") != F.col("value")) | (F.col("o.kind") != F.col("kind")))
-        attempt = F.when(again, F.col("attempt") + 1).otherwise(F.col("attempt"))
+        # A core belongs to the corpus's own value if there is one, else to the smallest value that drew it.
+        drawn = at.select("core", F.struct(F.lit(1).alias("late"), "kind", "plain").alias("by"))
+        held = at.select(F.col("plain").alias("core"), F.struct(F.lit(0).alias("late"), "kind", "plain").alias("by"))
+        taken = cut(drawn.unionAll(held).groupBy("core").agg(F.min("by").alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1"))
         if taken.isEmpty():
             return at
-        at = clash.select("kind", "value", attempt.alias("attempt")).withColumn("surrogate", _surrogate(F.col("kind"), F.col("value"), F.col("attempt"), key))
-        at = cut(at)
+        clash = at.join(taken.select(F.col("core").alias("c"), F.col("owner").alias("o")), F.col("core") == F.col("c"), "left_outer")
+        again = F.col("o").isNotNull() & ((F.col("o.late") == 0) | (F.col("o.plain") != F.col("plain")) | (F.col("o.kind") != F.col("kind")))
+        at = drawn_for(clash.select("kind", "plain", F.when(again, F.col("attempt") + 1).otherwise(F.col("attempt")).alias("attempt")))
     raise ValueError(f"surrogates still collide after {rounds} rounds; the value space of a type is too small for its entities")
 
 
-def pseudonymise(docs: DataFrame, key: str = "surrogate-key-1", rounds: int = 24, counts: bool = False) -> DataFrame:
+def surrogate_key(session, default: str | None = None) -> str:
+    """The secret key, from the setting spark.shoalspark.surrogate.key; without it and without a default, an error."""
+    key = session.conf.get(KEY_SETTING, None) or default
+    if not key:
+        raise ValueError(f"set {KEY_SETTING} to a secret key")
+    return key
+
+
+def pseudonymise(docs: DataFrame, key: str | None = None, rounds: int = 24, counts: bool = False) -> DataFrame:
     """docs with the entities of text replaced; all columns stay, n_chars follows the new text if there is one.
 
-    With counts, columns n_<type> (long) come on top of doc_id and text and nothing else is returned. Null and empty
-    texts stay as they are. Equal values have equal surrogates everywhere, different values different ones.
+    With counts, columns n_<type> (long) come on top of doc_id and text and nothing else is returned. The key comes from
+    the configuration if none is given. Values that differ in format alone (case of a mailbox, separators of a number,
+    case of a name, a title) have surrogates that differ in format alone, in all texts; other values have different
+    surrogates. Of matches at one place the first type counts. Null and empty texts stay as they are, repeated rows get
+    equal texts, an empty table gives no rows. Columns other than text and n_chars are passed on, whatever their names.
     """
+    key = key or surrogate_key(docs.sparkSession)
     text = F.col("row.text")
     rows = docs.select(F.struct("*").alias("row"))
     found = rows.select(_found(text).alias("v")).where(F.size("v") > 0).select(F.explode("v.value").alias("value"))
     entities = found.groupBy("value").agg(F.lit(1).alias("one")).select(_kind(F.col("value")).alias("kind"), "value").where(F.col("kind") != NO_ENTITY)
-    drawn_anew = _repaired(entities, key, rounds).where("attempt > 0").select("value", "surrogate")
+    plains = entities.select(F.explode(_parts(F.col("kind"), F.col("value"))).alias("p")).groupBy("p.kind", "p.plain").agg(F.lit(1).alias("one")).select("kind", "plain")
+    drawn_anew = _repaired(plains, key, rounds).where("attempt > 0").select(F.concat("kind", F.lit(":"), "plain").alias("drawn"), F.col("core").alias("instead"))
 
     marked = rows.select("row", _found(text).alias("v"))
     if not drawn_anew.isEmpty():
         # Texts with values drawn anew get a map of them, joined by the text itself: none meets rows of other texts.
-        again = drawn_anew.withColumnsRenamed({"value": "drawn", "surrogate": "instead"})
-        pairs = rows.select(F.sha2(text, 256).alias("text_key"), F.explode(F.array_distinct(_found(text)["value"])).alias("value")).groupBy("text_key", "value").agg(F.lit(1).alias("one"))
-        maps = pairs.join(again, F.col("value") == F.col("drawn")).groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("value", "instead"))).alias("anew"))
-        marked = marked.withColumn("text_key", F.sha2(text, 256)).join(maps, "text_key", "left")
+        parts = F.flatten(F.transform(_found(text), lambda x: _parts(_kind(x["value"]), x["value"])))
+        pairs = rows.select(F.sha2(text, 256).alias("text_key"), F.explode(F.array_distinct(F.transform(parts, lambda p: F.concat(p["kind"], F.lit(":"), p["plain"])))).alias("part")).groupBy("text_key", "part").agg(F.lit(1).alias("one"))
+        maps = cut(pairs.join(drawn_anew, F.col("part") == F.col("drawn")).groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("drawn", "instead"))).alias("anew")))
+        marked = marked.withColumn("text_key", F.sha2(text, 256)).join(if_small(maps), "text_key", "left")
     else:
         marked = marked.withColumn("anew", F.lit(None).cast("map<string,string>"))
-    each = marked.withColumn(
-        "s", F.transform("v", lambda x: F.struct(x["before"].alias("before"), x["value"].alias("value"), x["after"].alias("after"), _kind(x["value"]).alias("kind"), F.try_element_at(F.col("anew"), x["value"]).alias("anew")))
-    )
-    made = each.withColumn("s", F.transform("s", lambda x: F.struct(x["kind"].alias("kind"), F.concat(x["before"], F.coalesce(x["anew"], _surrogate(x["kind"], x["value"], F.lit(0), key)), x["after"]).alias("new"))))
+    each = marked.withColumn("s", F.transform("v", lambda x: F.struct(x["before"].alias("before"), x["value"].alias("value"), x["after"].alias("after"), _kind(x["value"]).alias("kind"))))
+    made = each.withColumn("s", F.transform("s", lambda x: F.struct(x["kind"].alias("kind"), F.concat(x["before"], _surrogate(x["kind"], x["value"], key, F.col("anew")), x["after"]).alias("new"))))
     gaps = F.split(text, ANY, -1)
     whole = F.when(F.size("s") == 0, text).otherwise(F.array_join(F.zip_with(gaps, F.transform("s", lambda x: x["new"]), lambda g, n: F.concat(F.coalesce(g, F.lit("")), F.coalesce(n, F.lit("")))), ""))
     if counts:
@@ -205,4 +279,3 @@ def pseudonymise(docs: DataFrame, key: str = "surrogate-key-1", rounds: int = 24
         return made.select("row.doc_id", whole.alias("text"), *n)
     fields = [whole.alias(c) if c == "text" else F.coalesce(F.length(whole), F.col("row.n_chars")).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"row.`{c}`") for c in docs.columns]
     return made.select(*fields)
-

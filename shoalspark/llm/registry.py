@@ -12,6 +12,8 @@ from .common import table
 from .sql import ORACLES
 
 WORD_TOKENIZER, PIECE_TOKENIZER = "word_bpe_49k.json", "piece_bpe_32k.model"
+#: For the synthetic tables of the registered queries and the pipeline alone, where the configuration holds no key.
+DEMONSTRATION_KEY = "synthetic tables only"
 
 
 def tokenizer_path(name: str) -> str:
@@ -37,7 +39,7 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(table(spark, sf_dir, "documents"), counts=True)
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), pii.surrogate_key(spark, DEMONSTRATION_KEY), counts=True)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,17 +79,19 @@ def _random_looking(value: Column) -> Column:
 
 
 def ownership(hits: DataFrame) -> DataFrame:
-    """hash -> n_repos, n_owners, n_docs. Distinct pairs are reduced before the shuffle, so a value in every row is cheap."""
+    """hash -> n_repos, n_owners, n_hits. Distinct pairs are reduced before the shuffle, so a value in every row is cheap."""
     pairs = hits.groupBy("hash", "owner", "repo").agg(F.count(F.lit(1)).alias("n"))
     owners = pairs.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("repos"), F.sum("n").alias("n"))
     return owners.groupBy("hash").agg(F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_hits"))
 
 
-def find_secrets(docs: DataFrame, max_owners: int = 1, **columns) -> DataFrame:
-    """One row per input row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied, max_owners.
+def find_secrets(docs: DataFrame, max_owners: int = 1, max_repos: int = 3, **columns) -> DataFrame:
+    """One row per input row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied, max_owners, max_repos.
 
-    n_live counts hits whose value at most max_owners owners carry, looks random and is no placeholder; n_copied those
-    that more owners carry. Rows without hits have zeros and null max_owners; repeated rows get equal results.
+    A value in the texts of more than max_owners owners or of more than max_repos repositories is a copied one (n_copied
+    counts its hits); n_live counts hits of other values that look random and are no placeholders. The last two columns
+    are the most owners and repositories of a text's values. Null and empty texts, and others without hits, have zeros and
+    null in those; repeated rows get equal results; an empty table gives no rows.
     """
     scanned = cut(scan(docs, **columns))
     rows = scanned.select(
@@ -99,16 +101,16 @@ def find_secrets(docs: DataFrame, max_owners: int = 1, **columns) -> DataFrame:
         _joined(F.col("hits")).alias("spans"),
     )
     hits = scanned.where(F.size("hits") > 0).select("doc_id", "text_key", "owner", "repo", F.explode("hits").alias("h")).select("doc_id", "text_key", "owner", "repo", "h.*")
-    known = cut(ownership(hits)).select(dealt_anew_text(F.col("hash")).alias("known"), "n_owners")
+    known = cut(ownership(hits)).select(dealt_anew_text(F.col("hash")).alias("known"), "n_owners", "n_repos")
     each = hits.groupBy("hash", "doc_id", "text_key", "start", "stop", "kind", "placeholder", "random").agg(F.lit(1).alias("one"))
     judged = each.select(dealt_anew_text(F.col("hash")).alias("value"), "doc_id", "text_key", "placeholder", "random").join(known, F.col("value") == F.col("known"))
-    few = F.col("n_owners") <= max_owners
+    few = (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)
     by_doc = judged.groupBy("doc_id", "text_key").agg(
-        F.count_if(few & F.col("random") & ~F.col("placeholder")).alias("n_live"), F.count_if(~few).alias("n_copied"), F.max("n_owners").alias("max_owners")
+        F.count_if(few & F.col("random") & ~F.col("placeholder")).alias("n_live"), F.count_if(~few).alias("n_copied"), F.max("n_owners").alias("max_owners"), F.max("n_repos").alias("max_repos")
     )
     # Only texts with hits have partners, and (doc_id, text_key) is as even as the ids are.
-    b = by_doc.select(F.col("doc_id").alias("b_id"), F.col("text_key").alias("b_key"), "n_live", "n_copied", "max_owners")
+    b = by_doc.select(F.col("doc_id").alias("b_id"), F.col("text_key").alias("b_key"), "n_live", "n_copied", "max_owners", "max_repos")
     zero = F.lit(0).cast("long")
     return rows.join(b, F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.col("text_key") == F.col("b_key")), "left").select(
-        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", F.coalesce("n_live", zero).alias("n_live"), F.coalesce("n_copied", zero).alias("n_copied"), "max_owners"
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", F.coalesce("n_live", zero).alias("n_live"), F.coalesce("n_copied", zero).alias("n_copied"), "max_owners", "max_repos"
     )

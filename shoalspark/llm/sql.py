@@ -1,6 +1,5 @@
 """DuckDB SQL for the operators that SQL can express."""
 
-from .mixing import BUCKETS  # noqa: F401  (the SQL needs no buckets; its prefix sums give the same rows)
 from .secrets import KINDS, PLACEHOLDER
 
 WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -48,15 +47,15 @@ s AS (SELECT *, (sum(length(g) + length(m)) OVER (PARTITION BY row_id, kind ORDE
 k AS (SELECT row_id, kind, ord, stop - length(m) AS start, stop, v,
         NOT regexp_matches(v, {_q(PLACEHOLDER)}) AND length(v) >= 16 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
         AND len(list_distinct(string_split(v, ''))) >= 8 AS live FROM s WHERE length(v) >= least),
-o AS (SELECT v, count(DISTINCT owner) AS n_owners FROM k JOIN t USING (row_id) GROUP BY v),
+o AS (SELECT v, count(DISTINCT owner) AS n_owners, count(DISTINCT repo) AS n_repos FROM k JOIN t USING (row_id) GROUP BY v),
 j AS (SELECT row_id,
         count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) FILTER (kind IN ('assign', 'access', 'hex')) AS base,
         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) AS spans,
-        count(*) FILTER (live AND n_owners <= 1) AS n_live, count(*) FILTER (n_owners > 1) AS n_copied, max(n_owners) AS max_owners
+        count(*) FILTER (live AND n_owners <= 1 AND n_repos <= 3) AS n_live, count(*) FILTER (n_owners > 1 OR n_repos > 3) AS n_copied, max(n_owners) AS max_owners, max(n_repos) AS max_repos
       FROM k JOIN o USING (v) GROUP BY row_id)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
-  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied, max_owners
+  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied, max_owners, max_repos
 FROM t LEFT JOIN j USING (row_id)
 """
 

@@ -19,9 +19,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import dealt_anew_text, shared_dir
+from .common import dealt_anew_text, delete_folder, shared_dir
 
-MIN_REVISIT, DATE = 100, "2024-01-01T00:00:00Z"
+MIN_REVISIT, DATE, MOST_TASKS = 100, "2024-01-01T00:00:00Z", 50_000
 MANIFEST = "file string, temporary string, bytes long, records long, sha256 string"
 
 
@@ -31,13 +31,13 @@ def _at(folder: str):
     return FileSystem.from_uri(folder)
 
 
-def _record(kind: str, page_id, url: str, digest: str, size: int, first, payload: bytes) -> bytes:
-    """One gzip member, the same bytes for the same row whenever it is written."""
+def _record(kind: str, page_id, url: str, digest: str, size: int, first, payload: bytes, copy: int = 0) -> bytes:
+    """One gzip member, the same bytes for the same row whenever it is written. copy tells equal rows apart."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http + payload
     name = lambda i, d: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{i}:{d}')}>"
     head = {
-        "WARC-Type": kind, "WARC-Record-ID": name(page_id, digest + kind), "WARC-Date": DATE, "WARC-Target-URI": re.sub(r"\s", "", url or "urn:none"),
+        "WARC-Type": kind, "WARC-Record-ID": name(page_id, digest + kind + (f":{copy}" if copy else "")), "WARC-Date": DATE, "WARC-Target-URI": re.sub(r"\s", "", url or "urn:none"),
         "WARC-Payload-Digest": f"sha256:{digest}", "WARC-Block-Digest": f"sha256:{hashlib.sha256(block).hexdigest()}", "Content-Type": "application/http; msgtype=response", "X-Payload-Length": size,
     }
     if page_id is not None:
@@ -93,7 +93,8 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = 64 << 20, shard_bytes
                     if (digest, "seen") in known:
                         target = page_id
                     known[digest, "seen"] = 1
-                record = _record("response", page_id, url, digest, len(payload), None, payload) if target is None else _record("revisit", page_id, url, digest, len(payload), target, b"")
+                copy = known[digest, "copies"] = known.get((digest, "copies"), -1) + 1
+                record = _record("response", page_id, url, digest, len(payload), None, payload, copy) if target is None else _record("revisit", page_id, url, digest, len(payload), target, b"", copy)
                 if out is None:
                     store.create_dir(f"{root}/_temporary", recursive=True)
                     out, made, size, count = store.open_output_stream(f"{root}/_temporary/{part:05d}-{number:05d}-{attempt}", compression=None), hashlib.sha256(), 0, 0
@@ -113,7 +114,10 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = 64 << 20, shard_bytes
 
 
 def commit(session: SparkSession, folder: str) -> None:
-    """Gives the manifest's files their names and sets the marker; running it again after a loss does no harm."""
+    """Gives the manifest's files their names, a file a task, sets the marker and drops what lost attempts wrote.
+
+    Running it again after a loss does no harm.
+    """
 
     def rename(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow.fs import FileType
@@ -125,11 +129,13 @@ def commit(session: SparkSession, folder: str) -> None:
                     store.move(f"{root}/{temporary}", f"{root}/{name}")
             yield pd.DataFrame({"renamed": [len(batch)]})
 
-    session.read.parquet(f"{folder}/manifest").select("file", "temporary").repartition("file").mapInPandas(rename, "renamed long").agg(F.sum("renamed")).first()
+    manifest = session.read.parquet(f"{folder}/manifest").select("file", "temporary")
+    manifest.repartition(max(1, min(manifest.count(), MOST_TASKS)), "file").mapInPandas(rename, "renamed long").agg(F.sum("renamed")).first()
     store, root = _at(folder)
     store.create_dir(root, recursive=True)
     with store.open_output_stream(f"{root}/_COMMITTED") as marker:
         marker.write(b"1\n")
+    delete_folder(session, f"{folder}/_temporary")
 
 
 def _parse(stream) -> Iterator[tuple]:
@@ -152,8 +158,9 @@ def _parse(stream) -> Iterator[tuple]:
 
 
 def read(session: SparkSession, folder: str) -> DataFrame:
-    """page_id, url, html, payload_bytes, payload_digest, record_type, refers_to of the committed archives, a file a task."""
+    """page_id, url, html, payload_bytes, payload_digest, record_type, refers_to of the committed archives, about a file a task."""
     manifest = session.read.parquet(f"{folder}/manifest").select("file")
+    files = max(1, min(manifest.count(), MOST_TASKS))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, root = _at(folder)
@@ -170,7 +177,7 @@ def read(session: SparkSession, folder: str) -> DataFrame:
                             rows, held = [], 0
                     yield pd.DataFrame(rows, columns=names, dtype=object)
 
-    return manifest.repartition("file").mapInPandas(run, "page_id long, url string, html string, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return manifest.repartition(files, "file").mapInPandas(run, "page_id long, url string, html string, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def round_trip(pages: DataFrame, **sizes) -> DataFrame:

@@ -142,7 +142,7 @@ def test_classifier_on_held_out_rows(spark):
 def test_surrogates(spark):
     text = "Mail anna.b@site7.example.org or Anna.B@x.org, call +1 (277) 555-1161; 4111 1111 1111 1111 and 4111111111111112, 10.0.0.12. Mrs Anna Berg met Mr. Иван Петров. DE89370400440532013000"
     docs = spark.createDataFrame([(1, text), (2, "again anna.b@site7.example.org"), (3, "plain words only"), (4, None)], "doc_id long, text string")
-    got = {r.doc_id: r for r in pii.pseudonymise(docs, counts=True).collect()}
+    got = {r.doc_id: r for r in pii.pseudonymise(docs, "key", counts=True).collect()}
     new = got[1].text
     for value in ("anna.b@", "555-1161", "4111 1111 1111 1111", "10.0.0.12", "Anna Berg", "Иван", "0532013000"):
         assert value not in new
@@ -159,7 +159,7 @@ def test_surrogates(spark):
 
 def test_colliding_surrogates_are_drawn_anew(spark):
     docs = spark.createDataFrame([(i, f"write a{chr(97 + i % 26)}@b.org now") for i in range(26)] + [(100 + i, f"x {chr(97 + i)}@q.org") for i in range(26)], "doc_id long, text string")
-    made = [r.text.split()[1] for r in pii.pseudonymise(docs, counts=True).collect()]
+    made = [r.text.split()[1] for r in pii.pseudonymise(docs, "key", counts=True).collect()]
     assert len(set(made)) == 52
 
 

@@ -23,8 +23,8 @@ OTHERS = [("3782 822463 10005 1234", "", " 1234"), ("4222222222222 12 x", "", "
 def made(spark):
     texts = [t for t, _, _ in BESIDE + OTHERS] + ["4111 1111 1111 1112 345", "4111 1111 1111 1111 5500 0000 0000 0004", "4111 1111 1111 1111 123-45-6789"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    rows = {r.doc_id: r for r in pii.pseudonymise(docs, counts=True).collect()}
-    whole = {r.doc_id: r.text for r in pii.pseudonymise(docs).collect()}
+    rows = {r.doc_id: r for r in pii.pseudonymise(docs, "key", counts=True).collect()}
+    whole = {r.doc_id: r.text for r in pii.pseudonymise(docs, "key").collect()}
     assert all(whole[k] == r.text for k, r in rows.items())
     return {t: rows[i] for i, t in enumerate(texts)}
 

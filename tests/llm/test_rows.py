@@ -28,7 +28,7 @@ EVERY = {
     "rules": lambda d, _: quality_rules.verdicts(quality_rules.ledger(d)),
     "secrets": lambda d, _: secrets.find_secrets(d),
     "classifier": lambda d, labels: quality_classifier.classify(d, labels),
-    "pii": lambda d, _: pii.pseudonymise(d),
+    "pii": lambda d, _: pii.pseudonymise(d, "key"),
     "simhash": lambda d, _: simhash.near_duplicates(d),
     "tokens": lambda d, _: token_counts.count_tokens(d, tokenizer_path(PIECE_TOKENIZER)),
     "mixing": lambda d, _: mixing.mix(d),
@@ -58,7 +58,7 @@ def test_null_texts_and_ties(docs):
     found = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect()}
     assert {(1, 1), (2, 1), (3, 1), (6, 6), (7, 6)} <= found
     assert sorted(r.doc_id or 0 for r in simhash.drop_near_duplicates(docs).select(docs.columns).collect()).count(6) == 1
-    assert quality_rules.keep_good(docs).columns == docs.columns == pii.pseudonymise(docs).columns == mixing.mix_documents(docs).columns
+    assert quality_rules.keep_good(docs).columns == docs.columns == pii.pseudonymise(docs, "key").columns == mixing.mix_documents(docs).columns
 
 
 def test_awkward_vectors(spark):
