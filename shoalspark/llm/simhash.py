@@ -3,11 +3,15 @@
 Fingerprints are routed through trees of vantage points to shards, one tree for each half of the bits: of two
 fingerprints at most RADIUS = 3 bits apart, one half is at most 1 bit apart. At each node those within the split distance
 go inside, the others outside, and by the triangle inequality only inside ones closer to the split than that radius can
-have partners outside, so these go both ways. Every pair then meets in some shard, which is searched exactly.
+have partners outside, so these go both ways. Every pair then meets in some shard, which is searched exactly. The trees
+of the driver are fit on a bounded sample; a shard that is still large gets a tree of its own, fit by a task.
 """
 
 from __future__ import annotations
 
+import functools
+import pickle
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, dealt_anew
+from .common import cut, dealt_anew, delete_folder, if_small, shared_dir
 from .components import connected
 
 RADIUS = 3
@@ -111,11 +115,64 @@ def stars(x: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(members), np.concatenate(hubs)) if members else (np.empty(0, x.dtype), np.empty(0, x.dtype))
 
 
-def links(distinct: DataFrame, shard_rows: int = 4096, most_sample: int = 1 << 16, block_rows: int = 1 << 15, halves: int = 2) -> DataFrame:
+def _store(folder: str):
+    from pyarrow.fs import FileSystem
+
+    return FileSystem.from_uri(folder)
+
+
+@functools.lru_cache(maxsize=32)
+def _tree(folder: str, name: str) -> Tree:
+    store, root = _store(folder)
+    with store.open_input_file(f"{root}/{name}") as source:
+        return pickle.loads(source.read())
+
+
+def _crowded(routed: DataFrame, keys: list[str], block_rows: int) -> DataFrame:
+    """keys, rows of the shards above block_rows."""
+    return cut(routed.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > block_rows))
+
+
+def _subdivided(routed: DataFrame, crowded: DataFrame, halves: int, shard_rows: int, sample: int) -> DataFrame:
+    """shard, sub, fp: crowded shards routed on through a tree of their own, fit on about sample of their rows."""
+    session, bits = routed.sparkSession, 64 // halves
+    folder = f"{shared_dir(session).rstrip('/')}/trees-{uuid.uuid4().hex}"
+    known = if_small(crowded)
+
+    def fit(group: pd.DataFrame) -> pd.DataFrame:
+        x, shard = group["fp"].to_numpy().view(np.uint64), int(group["shard"].iloc[0])
+        made = Tree(x, min(max(1, int(group["rows"].iloc[0]) // shard_rows), max(1, len(x) // 16)), ((1 << bits) - 1) << (bits * (shard >> 24)), RADIUS // halves)
+        store, root = _store(folder)
+        store.create_dir(root, recursive=True)
+        name = uuid.uuid4().hex
+        with store.open_output_stream(f"{root}/{name}", compression=None) as out:
+            out.write(pickle.dumps(made))
+        return pd.DataFrame({"shard": [shard], "file": [name]})
+
+    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for (shard, name), rows in batch.groupby(["shard", "file"]):
+                x = rows["fp"].to_numpy()
+                at, sub = _tree(folder, name).route(x.view(np.uint64))
+                yield pd.DataFrame({"shard": shard, "sub": sub, "fp": x[at]})
+
+    drawn = F.pmod(F.xxhash64("fp", F.lit("sample")), F.ceil(F.col("rows") / sample)) == 0
+    files = cut(routed.join(known, "shard").where(drawn).groupBy("shard").applyInPandas(fit, "shard long, file string"))
+    salt = F.pmod(F.xxhash64("fp"), F.lit(64))
+    inside = routed.join(if_small(files.withColumnRenamed("shard", "of")), F.col("shard") == F.col("of")).select("shard", "fp", "file").repartition("shard", salt).sortWithinPartitions("shard")
+    # Shards without a tree, and a sample that drew nothing, stay as they are.
+    rest = routed.join(if_small(files.select("shard")), "shard", "left_anti").select("shard", F.lit(0).cast("long").alias("sub"), "fp")
+    made = cut(inside.mapInPandas(route, "shard long, sub long, fp long").unionAll(rest))
+    delete_folder(session, folder)
+    return made
+
+
+def links(distinct: DataFrame, shard_rows: int = 4096, most_sample: int = 1 << 19, block_rows: int = 1 << 15, halves: int = 2, tree_sample: int = 1 << 16) -> DataFrame:
     """a, b: links that join the same fingerprints (column fp, distinct) as all pairs within RADIUS do.
 
-    The trees are fit on a sample by hash of an eighth of the fingerprints, at most most_sample. A shard above
-    block_rows, which near copies can make, is searched as pairs of blocks in tasks of their own.
+    The driver's trees are fit on a sample by hash of an eighth of the fingerprints, at most most_sample, and those of
+    shards above block_rows on about tree_sample each. What stays above block_rows then, as near copies can, is searched
+    as pairs of blocks in tasks of their own.
     """
     session = distinct.sparkSession
     n = distinct.count()
@@ -133,18 +190,24 @@ def links(distinct: DataFrame, shard_rows: int = 4096, most_sample: int = 1 << 1
                 yield pd.DataFrame({"shard": shard + (k << 24), "fp": x[at]})
 
     routed = cut(distinct.select("fp").mapInPandas(route, "shard long, fp long"))
-    big = {r["shard"]: -(-r["n"] // block_rows) for r in routed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_rows).collect()}
-    blocks = F.coalesce(F.try_element_at(F.create_map(*[F.lit(v) for kv in big.items() for v in kv]), F.col("shard").cast("int")), F.lit(1)) if big else F.lit(1)
-    own = F.pmod(F.xxhash64("fp"), F.col("k")).cast("int")
-    placed = routed.withColumn("k", blocks).withColumn("own", own)
-    placed = placed.select("fp", "shard", "own", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
-    placed = placed.select("fp", "shard", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    crowded = _crowded(routed, ["shard"], block_rows)
+    if crowded.isEmpty():
+        routed = routed.withColumn("sub", F.lit(0).cast("long"))
+        blocks = crowded.withColumn("sub", F.lit(0).cast("long"))
+    else:
+        routed = _subdivided(routed, crowded, halves, shard_rows, tree_sample)
+        blocks = _crowded(routed, ["shard", "sub"], block_rows)
+    blocks = blocks.select("shard", "sub", F.ceil(F.col("rows") / block_rows).cast("int").alias("blocks"))
+    placed = routed.join(if_small(blocks), ["shard", "sub"], "left").withColumn("k", F.coalesce("blocks", F.lit(1)))
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("k")).cast("int"))
+    placed = placed.select("fp", "shard", "sub", "own", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
+    placed = placed.select("fp", "shard", "sub", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
         member, hub = stars(np.unique(group["fp"].to_numpy()).view(np.uint64))
         return pd.DataFrame({"a": member.view(np.int64), "b": hub.view(np.int64)})
 
-    return placed.groupBy("shard", "i", "j").applyInPandas(search, "a long, b long")
+    return placed.groupBy("shard", "sub", "i", "j").applyInPandas(search, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, **limits) -> DataFrame:
@@ -165,14 +228,14 @@ def near_duplicates(docs: DataFrame, **limits) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is their component's smallest, with their columns; repeated ids stay once.
+    """One row of docs for each component: that of the smallest doc_id, and of the smallest text hash among equal ids.
 
-    Rows with a null doc_id stay only where their component has no other; of those with one fingerprint one stays.
+    Rows are told apart by doc_id and fingerprint, so different texts under one id are judged one by one. A row with a
+    null doc_id stays only where its component has no other. Of repeated rows one stays; an empty table gives none.
     """
-    found = near_duplicates(docs)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").groupBy("doc_id").agg(F.lit(1).alias("one")).drop("one")
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = docs.where(F.col("doc_id").isNull())
-    fp = fingerprints(nameless.select("text", F.struct("*").alias("doc_id"))).select(F.col("doc_id").alias("row"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"))
-    free = found.where("component_id is null").select("fingerprint").groupBy("fingerprint").agg(F.lit(1).alias("one")).drop("one")
-    return named.select(*docs.columns).unionAll(fp.join(free, "fingerprint", "left_semi").dropDuplicates(["fingerprint"]).select("row.*"))
+    rows = cut(near_duplicates(docs.select("text", F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"), F.col("doc_id").isNull().alias("nameless")).alias("doc_id"))).select("doc_id.*", "component_id"))
+    order = F.struct("nameless", "doc_id", "t")
+    kept = rows.groupBy("component_id").agg(F.min(order).alias("row")).select(F.col("row.doc_id").alias("kept_id"), F.col("row.t").alias("kept_t"))
+    whole = docs.select(F.struct("*").alias("row"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"))
+    same = (F.col("t") == F.col("kept_t")) & F.col("row.doc_id").eqNullSafe(F.col("kept_id"))
+    return whole.join(if_small(cut(kept)), same, "left_semi").groupBy("row.doc_id", "t").agg(F.first("row").alias("row")).select("row.*")
