@@ -18,13 +18,14 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _TITLE = r"(?:Mr|Mrs|Ms|Miss|Herr|Frau|Señora|Señor|Madame|Monsieur|Mme|Г-н|Г-жа)\.?"
 #: What stands before a name without a title. Each is of a bounded length, as a lookbehind needs.
 _CUE = r"(?:[Nn]ame is |Name: |Mein Name ist |Me llamo |me llamo |nombre es |Je m'appelle |je m'appelle |nom est |[Мм]еня зовут |[Ss]igned by |[Rr]egards,\s|Sincerely,\s|Grüßen,?\s|Atentamente,\s|Cordialement,\s)"
-_NAME = r"\p{Lu}\p{L}++(?:[-’']\p{Lu}\p{L}++)?"
+_NAME = r"\p{Lu}\p{L}{1,63}+(?!\p{L})(?:[-’']\p{Lu}\p{L}{1,63}+(?!\p{L}))?"
 _HEX = r"[0-9A-Fa-f]{1,4}+"
 _FIRST6 = r"(?:[23][0-9A-Fa-f]{3}|[Ff](?:[CcDd][0-9A-Fa-f]{2}|[Ee]80))"
 #: Type -> pattern; where two match at one place the first counts. No group repeats without bound: Java's matcher recurses
-#: on each repeat of a group, and a long text would overflow the stack. A domain has at most 127 labels by its own rules.
+#: on each repeat of a group, and a long text would overflow the stack. All matches are short: a mailbox has at most 64
+#: characters and a label of a domain 63, as their standards say; more than 31 labels, and names above 64 letters, are none.
 PATTERNS: dict[str, str] = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,30}[A-Za-z]{2,63}+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,5}(?:[ .-]?\d{2,5}){1,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\d-])",
     # Five groups of four are a card and a number before or after it; a longer number before four groups of four is no part of the card.
@@ -131,7 +132,7 @@ def _core(kind: Column, plain: Column, attempt: Column, key: str) -> Column:
         .when(kind == "card", _card(plain, d))
         .when(kind == "ssn", F.concat(F.lit("9"), _same_classes(F.substr(plain, F.lit(2)), d)))
         .when(kind == "nino", F.concat(F.lit("Q"), _same_classes(F.substr(plain, F.lit(2), F.lit(7)), d), F.char(_byte(d, F.lit(9)) % 4 + 65)))
-        .when(kind == "ipv6", F.concat(F.lit("fd"), _hex_digits(F.substr(plain, F.lit(3)), d)))
+        .when(kind == "ipv6", F.concat(F.lit("fd"), _hex_digits(F.substr(F.regexp_replace(plain, ":", ""), F.lit(3)), d)))
         .otherwise(ip)
     )
 
