@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import layers, raster, relational, scoring, space  # noqa: F401  (they register their queries)
+from .plans import coast, layers, raster, relational, scoring, space  # noqa: F401  (they register their queries)
 from .sqlpair import QUERIES, SQL
 
 

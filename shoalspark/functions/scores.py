@@ -26,8 +26,14 @@ def catzoc(score: Column) -> Column:
     return F.when(score > 80, 1).when(score > 60, 2).when(score > 40, 3).when(score > 20, 4).when(score.isNotNull(), 5)
 
 
-def feature(detected: Column, least_depth: Column, interpolated: Column) -> Column:
-    return F.when(detected & least_depth, F.when(interpolated, 100).otherwise(110)).otherwise(60)
+def feature(detected: Column, least_depth: Column, scaled: Column) -> Column:
+    """Features and their least depths detected: 110 on the increased scale, else 100; otherwise 60."""
+    return F.when(detected & least_depth, F.when(scaled, 110).otherwise(100)).otherwise(60)
+
+
+def coverage(complete: Column, scaled: Column) -> Column:
+    """Complete coverage: 110 on the increased scale, else 100; otherwise 60."""
+    return F.when(complete, F.when(scaled, 110).otherwise(100)).otherwise(60)
 
 
 def horizontal(fixed: Column, variable: Column, scaled: Column) -> Column:
@@ -42,7 +48,9 @@ def vertical(fixed: Column, variable: Column, scaled: Column) -> Column:
 
 
 def supersession(*parts: Column, interpolated: Column) -> Column:
-    return F.least(*parts) - F.when(interpolated, 0.01).otherwise(0.0)
+    """The least of the part scores, a hundredth less where the depth is interpolated; null if a part is missing."""
+    whole = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts])
+    return F.when(whole, F.least(*parts) - F.when(interpolated, 0.01).otherwise(0.0))
 
 
 def decay(score: Column, days: Column, rate: float = DECAY) -> Column:
@@ -79,9 +87,10 @@ def bin_depth(x: Column, shallow: float, middle: float) -> Column:
 
 
 def desired(clearance: Column, depth: Column, slope: Column) -> Column:
-    """Desired score: by under-keel clearance, else depth, with limits by slope. Negative clearance or null slope: null."""
-    by = lambda s, m: F.coalesce(bin_clearance(clearance, s, m), bin_depth(depth, s, m))
-    return F.when(clearance < 0, None).when(slope < 0.5, by(20, 50)).when(slope < 1, by(30, 75)).when(slope >= 1, by(40, 100))
+    """Desired score by under-keel clearance, and by depth where that is missing or negative, with limits by slope; null slope: null."""
+    above = F.when(clearance >= 0, clearance)
+    by = lambda s, m: F.coalesce(bin_clearance(above, s, m), bin_depth(depth, s, m))
+    return F.when(slope < 0.5, by(20, 50)).when(slope < 1, by(30, 75)).when(slope >= 1, by(40, 100))
 
 
 def coefficient(*bins: Column, rate: float = DECAY) -> Column:
@@ -90,8 +99,8 @@ def coefficient(*bins: Column, rate: float = DECAY) -> Column:
 
 
 def present(initial: Column, coeff: Column, age: Column) -> Column:
-    """Present score, ages above 200 as 200, within 0 to 110."""
-    p = initial * F.exp(-coeff * F.least(age, F.lit(200)))
+    """Present score within 0 to 110; ages above 200 count as 200, missing and negative ones give null."""
+    p = initial * F.exp(-coeff * F.when(age > 200, 200).when(age >= 0, age))
     return F.when(p.isNotNull(), F.greatest(F.least(p, F.lit(110.0)), F.lit(0.0)))
 
 
@@ -119,9 +128,15 @@ def close_to(a: Column, b: Column, absolute: float = 1e-5, relative: float = 1e-
 
 
 def radii(wind: Column, quadrants: list[Column], at: int, default: float) -> list[Column]:
-    """Wind radii with the default where the wind reaches at and all four are missing (-999)."""
-    missing = reduce(lambda a, b: a & b, [q.isNull() | (q == -999) for q in quadrants])
-    return [F.when((wind >= at) & missing, default).otherwise(F.when(q != -999, q)) for q in quadrants]
+    """Wind radii with the default where the wind reaches at and no quadrant has one above 0 (null and -999 are none)."""
+    known = [F.coalesce(q.cast("double"), F.lit(-999.0)) for q in quadrants]
+    missing = reduce(lambda a, b: a & b, [q <= 0 for q in known])
+    return [F.when((wind >= at) & missing, default).otherwise(F.when(q != -999, q)) for q in known]
+
+
+def outer_radius(r34: Column) -> Column:
+    """The radius of the outermost winds: half as much again as that of 34 knots, 0 where there is none."""
+    return F.greatest(F.coalesce(r34, F.lit(0.0)), F.lit(0.0)) * 1.5
 
 
 def priority(place: Column, levels: int, zone_class: Column, year: Column) -> Column:
@@ -129,6 +144,35 @@ def priority(place: Column, levels: int, zone_class: Column, year: Column) -> Co
     return F.pow(F.lit(10.0), 4 + levels - place) * (6 - zone_class) + year
 
 
+def change_bins(depth: Column, year: Column, soft: Column, tide: Column, storms: Column, debris: Column, present_year: int = PRESENT_YEAR, rate: float = DECAY, terms: int = 3) -> dict[str, Column]:
+    """The decay coefficient of a cell, its three change bins and its tidal exposure, by name.
+
+    depth is the bathymetry of either sign, year the cleaned survey year. Cells without either are outside the domain and
+    have none of them. Storms count on soft ground (above 0) down to 40 m, tide times age on soft ground down to 20 m, and
+    debris everywhere, where missing debris is none. Bins that do not apply are null and leave the sum; the divisor stays.
+    """
+    inside = depth.isNotNull() & year.isNotNull()
+    ground, deep = inside & (soft > 0), F.abs(depth)
+    age = F.when(year <= present_year, present_year - year)
+    storm_bin = F.when(ground & (deep <= 40), bin_storms(storms))
+    exposure = F.when(ground & (deep <= 20), tide * age)
+    tide_bin, debris_bin = bin_tide(exposure), F.when(inside, bin_debris(F.coalesce(debris, F.lit(0))))
+    over = reduce(lambda a, b: a + b, [F.coalesce(b - 1, F.lit(0)) for b in (storm_bin, tide_bin, debris_bin)])
+    return {"coefficient": F.when(inside, over * rate / terms), "storm_bin": storm_bin, "tide_bin": tide_bin, "debris_bin": debris_bin, "exposure": exposure}
+
+
+def survey_scores(initial: Column, clearance: Column, depth: Column, slope: Column, coeff: Column, year: Column, present_year: int = PRESENT_YEAR) -> dict[str, Column]:
+    """Desired score, present score and the gap between them of a cell, by name; missing parts give null."""
+    want = desired(clearance, F.abs(depth), slope)
+    have = present(initial, coeff, present_year - year)
+    return {"desired": want, "present": have, "gap": want - have}
+
+
+def clearance(depth: Column, draft: Column) -> Column:
+    """Under-keel clearance: depth of either sign less draft, null where either is missing."""
+    return F.abs(depth) - draft
+
+
 def domain_coefficient(storms: Column, exposure: Column, debris: Column, soft: Column, depth: Column, age: Column) -> Column:
     """Decay coefficient of a cell from its sources of change.
 

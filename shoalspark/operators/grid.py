@@ -76,7 +76,7 @@ def position_index(cells: DataFrame, inner: float, outer: float) -> DataFrame:
 
 
 def position_index_blocks(cells: DataFrame, inner: float, outer: float, block: int = 256) -> DataFrame:
-    """position_index for wide rings: blocks of cells with their halo, convolved by Fourier transform."""
+    """position_index for wide rings: blocks of cells with their halo; a ring is a few runs of cells in each row, summed by prefix sums."""
     k = int(outer)
     b = lambda c, d: F.floor((F.col(c) + d) / block).cast("int")
     spread = cells.where("z is not null").select("row", "col", "z", F.explode(F.array_distinct(F.array(*[F.struct(b("row", i).alias("br"), b("col", j).alias("bc")) for i in (-k, 0, k) for j in (-k, 0, k)]))).alias("b"))
@@ -86,11 +86,21 @@ def position_index_blocks(cells: DataFrame, inner: float, outer: float, block: i
         z, has = np.zeros((n, n)), np.zeros((n, n))
         i, j = group["row"].to_numpy() - r0, group["col"].to_numpy() - c0
         z[i, j], has[i, j] = group["z"], 1
-        kernel = np.zeros((n, n))
-        for di, dj in annulus(inner, outer):
-            kernel[di, dj] = 1
-        f = np.fft.rfft2(kernel)
-        total, count = (np.fft.irfft2(np.fft.rfft2(a) * f, a.shape) for a in (z, has))
+        runs = []  # row offset, reach of the outer circle, reach of the inner one (-1: none)
+        for d in range(-k, k + 1):
+            rest = np.arange(k + 1)
+            far = np.sqrt(d * d + rest * rest)
+            runs.append((d, int((far <= outer).sum()) - 1, int((far <= inner).sum()) - 1))
+        total, count = np.zeros((n, n)), np.zeros((n, n))
+        for values, into in ((z, total), (has, count)):
+            upto = np.pad(np.cumsum(values, axis=1), ((0, 0), (1, 0)))
+            for d, reach, less in runs:
+                for width, sign in ((reach, 1), (less, -1)):
+                    if width >= 0:
+                        left, right = np.maximum(np.arange(n) - width, 0), np.minimum(np.arange(n) + width + 1, n)
+                        part = upto[:, right] - upto[:, left]
+                        rows = slice(max(0, -d), min(n, n - d))
+                        into[rows] += sign * part[max(0, d) : min(n, n + d)]
         own = (i >= k) & (i < k + block) & (j >= k) & (j < k + block)
         i, j, count = i[own], j[own], np.rint(count)
         with np.errstate(all="ignore"):
@@ -124,3 +134,45 @@ def terrain_class(broad: Column, fine: Column, slope_deg: Column, b: tuple[Colum
         .when(slope_deg >= s, 7)
         .when(broad.isNotNull() & fine.isNotNull() & slope_deg.isNotNull(), 8)
     )
+
+
+def smoothed(cells: DataFrame, metres: float, size: float) -> DataFrame:
+    """Mean of the values within a square of metres to each side; cells without a value that see one get it too.
+
+    The layers of sediment in suspension are filled so, and reach out from their data.
+    """
+    return box_mean(cells, int(metres / size), whole=True).withColumnRenamed("mean", "z")
+
+
+def convergence(cells: DataFrame) -> DataFrame:
+    """Mean of the eight neighbours less the value, for cells that have all eight."""
+    side = F.when((F.col("dr") != 0) | (F.col("dc") != 0), F.col("v"))
+    around = scatter(cells, RING, _at(0, 0).alias("z"), F.avg(side).alias("mean"), F.count(side).alias("n")).where("z is not null and n = 8")
+    return around.select("row", "col", (F.col("mean") - F.col("z")).alias("tci"))
+
+
+def depth_band(cells: DataFrame, lo: float, hi: float) -> DataFrame:
+    """row, col of the cells whose value lies from lo to hi, as between two isobaths."""
+    return cells.where(F.col("z").between(lo, hi)).select("row", "col")
+
+
+def presence(cells: DataFrame) -> DataFrame:
+    """row, col, z: 1 where a cell has a value, else 0."""
+    return cells.select("row", "col", F.col("z").isNotNull().cast("int").alias("z"))
+
+
+def masked(cells: DataFrame, mask: DataFrame) -> DataFrame:
+    """The cells that the mask (row, col) has, as cutting to an outline leaves them; their other columns stay."""
+    return cells.join(mask, ["row", "col"], "left_semi")
+
+
+def shared_extent(layers: DataFrame, order: str) -> DataFrame:
+    """The box round all layers (x0, y0, x1, y1) and the cell size of the first."""
+    return layers.agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"), F.min_by("size", order).alias("size"))
+
+
+def clearances(depths: DataFrame, drafts: DataFrame) -> DataFrame:
+    """row, col, ukc: mean depth of each draft cell, of either sign, less the largest draft of its months; drafts of 0 are none."""
+    most = drafts.where("draft > 0").groupBy("row", "col").agg(F.max("draft").alias("draft"))
+    mean = depths.where("z is not null").groupBy("row", "col").agg(F.avg("z").alias("z"))
+    return most.join(mean, ["row", "col"]).select("row", "col", (F.abs("z") - F.col("draft")).alias("ukc"))

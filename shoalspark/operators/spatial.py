@@ -15,7 +15,8 @@ def near_pairs(left: DataFrame, right: DataFrame, distance: float) -> DataFrame:
     around = F.explode(F.array(*[F.struct((bucket("x") + i).alias("bx"), (bucket("y") + j).alias("by")) for i in (-1, 0, 1) for j in (-1, 0, 1)])).alias("b")
     l = left.select("a_id", F.col("x").alias("ax"), F.col("y").alias("ay"), around).select("a_id", "ax", "ay", "b.*")
     r = right.select("b_id", F.col("x").alias("cx"), F.col("y").alias("cy"), bucket("x").alias("bx"), bucket("y").alias("by"))
-    d2 = F.pow(F.col("ax") - F.col("cx"), 2) + F.pow(F.col("ay") - F.col("cy"), 2)
+    dx, dy = F.col("ax") - F.col("cx"), F.col("ay") - F.col("cy")
+    d2 = dx * dx + dy * dy
     return l.join(r, ["bx", "by"]).select("a_id", "b_id", d2.alias("d2")).where(F.col("d2") <= distance * distance)
 
 

@@ -38,7 +38,7 @@ def year_pairs(years: DataFrame, consecutive: bool = True) -> DataFrame:
 def deltas(tall: DataFrame, pairs: DataFrame) -> DataFrame:
     """cell, y0, y1, delta: change of each cell between the years of each pair, where both have a value."""
     a, b = (tall.select("cell", F.col("year").alias(y), F.col("value").alias(v)) for y, v in (("y0", "v0"), ("y1", "v1")))
-    return a.join(F.broadcast(pairs.limit(10_000)), "y0").join(b, ["cell", "y1"]).select("cell", "y0", "y1", (F.col("v1") - F.col("v0")).alias("delta"))
+    return a.join(pairs, "y0").join(b, ["cell", "y1"]).select("cell", "y0", "y1", (F.col("v1") - F.col("v0")).alias("delta"))
 
 
 def repaired_by_median(rows: DataFrame, group: str, value: str, valid: Column) -> DataFrame:

@@ -155,13 +155,14 @@ def tile_names(t: Tables):
 
 
 @query("""
-WITH s AS (SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN 'position approximate' WHEN p_partkey % 5 = 0 THEN '' ELSE 'code ' || (p_size % 12) END AS s FROM part), c AS (SELECT *, TRY_CAST(regexp_extract(s, '(\\d+)', 1) AS INT) AS code FROM s)
-SELECT p_partkey, code, CASE WHEN s LIKE '%approx%' OR code BETWEEN 2 AND 9 THEN 3 ELSE 1 END AS weight FROM c
+WITH s AS (SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN 'position approximate' WHEN p_partkey % 5 = 0 THEN '' ELSE 'code ' || (p_size % 14) END AS s FROM part), c AS (SELECT *, TRY_CAST(regexp_extract(s, '(\\d+)', 1) AS INT) AS code FROM s)
+SELECT p_partkey, code, CASE WHEN s LIKE '%approx%' OR code BETWEEN 2 AND 9 THEN 3 WHEN code IS NULL OR code IN (1, 10, 11) THEN 1 ELSE 0 END AS weight FROM c
 """)
 def position_quality(t: Tables):
     k = F.col("p_partkey")
-    code, weight = X.quality_weight(F.when(k % 7 == 0, "position approximate").when(k % 5 == 0, "").otherwise(F.concat(F.lit("code "), (F.col("p_size") % 12).cast("string"))))
-    return t.part.select(k, code.alias("code"), weight.alias("weight"))
+    s = F.when(k % 7 == 0, "position approximate").when(k % 5 == 0, "").otherwise(F.concat(F.lit("code "), (F.col("p_size") % 14).cast("string")))
+    code = X.position_code(s)
+    return t.part.select("p_partkey", code.alias("code"), X.quality_weight(code, s).alias("weight"))
 
 
 @query("""

@@ -178,9 +178,9 @@ def min_area_filter(t: Tables):
     return t.supplier.groupBy("s_nationkey").agg(F.round(F.sum("s_acctbal"), 2).alias("area"), F.sum("s_acctbal").alias("a")).where("a >= 20000").drop("a")
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")
 def orphan_anti_join(t: Tables):
-    return t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    return t.customer.join(t.orders.where("o_orderpriority = '1-URGENT'"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
 @query("SELECT s_suppkey AS id, s_acctbal AS bal, NULL::VARCHAR AS seg FROM supplier UNION ALL SELECT c_custkey, c_acctbal, c_mktsegment FROM customer")
@@ -189,10 +189,10 @@ def union_missing_columns(t: Tables):
     return a.unionByName(b, allowMissingColumns=True)
 
 
-@query("SELECT DISTINCT l_partkey % 97 AS v FROM lineitem WHERE year(l_shipdate) = 1995 INTERSECT SELECT DISTINCT l_partkey % 97 FROM lineitem WHERE year(l_shipdate) = 1996 EXCEPT SELECT DISTINCT l_partkey % 97 FROM lineitem WHERE l_discount > 0.099")
+@query("SELECT DISTINCT o_custkey AS v FROM orders WHERE year(o_orderdate) = 1995 INTERSECT SELECT DISTINCT o_custkey FROM orders WHERE year(o_orderdate) = 1996 EXCEPT SELECT DISTINCT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'")
 def set_operations(t: Tables):
-    at = lambda c: t.lineitem.where(c).select((F.col("l_partkey") % 97).alias("v"))
-    return at(F.year("l_shipdate") == 1995).intersect(at(F.year("l_shipdate") == 1996)).subtract(at(F.col("l_discount") > 0.099))
+    at = lambda c: t.orders.where(c).select(F.col("o_custkey").alias("v"))
+    return at(F.year("o_orderdate") == 1995).intersect(at(F.year("o_orderdate") == 1996)).subtract(at(F.col("o_orderpriority") == "1-URGENT"))
 
 
 @query("SELECT isoyear(ts) AS y, week(ts) AS w, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
@@ -232,9 +232,19 @@ def lead_pairing(t: Tables):
     return t.events.select("event_id", "user_id", (F.col("value") + F.coalesce(F.lead("value").over(w), F.lit(0.0))).alias("paired"))
 
 
-@query("SELECT p_partkey, lower(regexp_replace(trim(p_name), ' ', '_', 'g')) AS name, trim(both '_' from regexp_replace(lower(p_type), '[^a-z0-9.]+', '_', 'g')) AS col FROM part")
+@query("""
+SELECT p_partkey, lower(regexp_replace(trim(p_name), ' ', '_', 'g')) AS name,
+  CASE p_partkey % 8 WHEN 0 THEN 'bt.bathy_' || y || '_filled' WHEN 1 THEN 'bathy_' || y || '_filled' WHEN 2 THEN 'slope_' || y WHEN 3 THEN 'tsm_mean_' || y || '_' || (y + 2)
+    WHEN 4 THEN 'survey_end_date' WHEN 5 THEN 'bt.' || y WHEN 6 THEN 'grain_size' ELSE 'bt.bpi_fine_' || y END AS col
+FROM (SELECT *, 1998 + p_size % 20 AS y FROM part)
+""")
 def standard_names(t: Tables):
-    return t.part.select("p_partkey", F.lower(X.plain_name(F.trim("p_name"))).alias("name"), X.standard_name(F.col("p_type")).alias("col"))
+    k, y = F.col("p_partkey") % 8, (1998 + F.col("p_size") % 20).cast("string")
+    later = (2000 + F.col("p_size") % 20).cast("string")
+    forms = [("BlueTopo_bathy_", y, "0101"), ("combined2_bathy_", y, "0630"), ("bathy_slope_", y, ""), ("", y, "_", later, "_tsm_mean"), ("BlueTopo_Survey_End_Date_", y), ("bluetopo_", y, "0831"), ("_grain_size_",), ("bt.bathy__bpi_fine_", y)]
+    made = [F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts]) for parts in forms]
+    file = F.coalesce(*[F.when(k == i, m) for i, m in enumerate(made)])
+    return t.part.select("p_partkey", F.lower(X.plain_name(F.trim("p_name"))).alias("name"), X.standard_name(file).alias("col"))
 
 
 @query("SELECT event_id, (props->>'$.k')::BIGINT AS k FROM events")

@@ -34,19 +34,20 @@ def score_chain(t: Tables):
 
 
 @query("""
-WITH s AS (SELECT p_partkey, CASE WHEN p_size % 2 = 0 AND p_size % 3 = 0 THEN CASE WHEN p_size % 5 = 0 THEN 100 ELSE 110 END ELSE 60 END AS feature,
-  CASE WHEN p_size <= 5 AND p_retailprice % 10 <= 0.05 THEN 110 WHEN p_size <= 20 THEN 85 WHEN p_size <= 50 THEN 65 WHEN p_size <= 500 THEN 45 ELSE 25 END AS horizontal,
-  CASE WHEN p_size / 20.0 <= 0.5 THEN 100 WHEN p_size / 20.0 <= 1 THEN 80 WHEN p_size / 20.0 <= 2 THEN 40 ELSE 20 END AS vertical FROM part)
-SELECT p_partkey, round(least(feature, horizontal, vertical) - CASE WHEN p_partkey % 7 = 0 THEN 0.01 ELSE 0 END, 4)::DOUBLE AS score,
-  CASE WHEN least(feature, horizontal, vertical) - CASE WHEN p_partkey % 7 = 0 THEN 0.01 ELSE 0 END > 80 THEN 1 WHEN least(feature, horizontal, vertical) - CASE WHEN p_partkey % 7 = 0 THEN 0.01 ELSE 0 END > 60 THEN 2
-       WHEN least(feature, horizontal, vertical) - CASE WHEN p_partkey % 7 = 0 THEN 0.01 ELSE 0 END > 40 THEN 3 WHEN least(feature, horizontal, vertical) - CASE WHEN p_partkey % 7 = 0 THEN 0.01 ELSE 0 END > 20 THEN 4 ELSE 5 END AS class FROM s
+WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_size END AS p_size, p_size % 5 = 0 AS scaled, p_retailprice FROM part),
+s AS (SELECT *, CASE WHEN p_size % 2 = 0 AND p_size % 3 = 0 THEN CASE WHEN scaled THEN 110 ELSE 100 END ELSE 60 END AS feature,
+  CASE WHEN p_size % 4 <> 1 THEN CASE WHEN scaled THEN 110 ELSE 100 END ELSE 60 END AS coverage,
+  CASE WHEN p_size <= 5 AND p_retailprice % 10 <= 0.05 THEN 110 WHEN p_size <= 20 THEN 85 WHEN p_size <= 50 THEN 65 WHEN p_size <= 500 THEN 45 WHEN p_size IS NULL THEN NULL ELSE 25 END AS horizontal,
+  CASE WHEN p_size / 20.0 <= 0.5 THEN 100 WHEN p_size / 20.0 <= 1 THEN 80 WHEN p_size / 20.0 <= 2 THEN 40 ELSE 20 END AS vertical FROM p),
+m AS (SELECT p_partkey, CASE WHEN horizontal IS NOT NULL THEN least(feature, coverage, horizontal, vertical) - CASE WHEN p_partkey % 7 = 0 THEN 0.01 ELSE 0 END END AS score FROM s)
+SELECT p_partkey, round(score, 4)::DOUBLE AS score, CASE WHEN score > 80 THEN 1 WHEN score > 60 THEN 2 WHEN score > 40 THEN 3 WHEN score > 20 THEN 4 WHEN score IS NOT NULL THEN 5 END AS class FROM m
 """)
 def supersession_score(t: Tables):
-    size, yes, no = F.col("p_size"), F.lit(True), F.lit(False)
-    f = S.feature(size % 2 == 0, size % 3 == 0, size % 5 == 0)
-    h = S.horizontal(size, F.col("p_retailprice") % 10, yes)
-    v = S.vertical(size / 20.0, F.lit(0.0), no)
-    score = S.supersession(f, h, v, interpolated=F.col("p_partkey") % 7 == 0)
+    size, yes, no = F.when(F.col("p_partkey") % 11 != 0, F.col("p_size")), F.lit(True), F.lit(False)
+    scaled = F.col("p_size") % 5 == 0
+    h = F.when(size.isNotNull(), S.horizontal(size, F.col("p_retailprice") % 10, yes))
+    parts = S.feature(size % 2 == 0, size % 3 == 0, scaled), S.coverage(size % 4 != 1, scaled), h, S.vertical(size / 20.0, F.lit(0.0), no)
+    score = S.supersession(*parts, interpolated=F.col("p_partkey") % 7 == 0)
     return t.part.select("p_partkey", F.round(score, 4).alias("score"), S.catzoc(score).alias("class"))
 
 
@@ -83,7 +84,7 @@ def bins(t: Tables):
 @query("""
 WITH v AS (SELECT o_orderkey, CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE (o_custkey % 90)::DOUBLE - 5 END AS ukc, (o_custkey % 60)::DOUBLE AS depth, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE (o_orderkey % 15) / 10.0::DOUBLE END AS slope FROM orders),
 l AS (SELECT *, CASE WHEN slope < 0.5 THEN 20 WHEN slope < 1 THEN 30 WHEN slope >= 1 THEN 40 END AS s, CASE WHEN slope < 0.5 THEN 50 WHEN slope < 1 THEN 75 WHEN slope >= 1 THEN 100 END AS m FROM v)
-SELECT o_orderkey, CASE WHEN ukc < 0 OR s IS NULL THEN NULL WHEN ukc IS NOT NULL THEN CASE WHEN ukc <= 1 THEN 100 WHEN ukc <= s THEN 80 WHEN ukc <= m THEN 30 ELSE 10 END
+SELECT o_orderkey, CASE WHEN s IS NULL THEN NULL WHEN ukc >= 0 THEN CASE WHEN ukc <= 1 THEN 100 WHEN ukc <= s THEN 80 WHEN ukc <= m THEN 30 ELSE 10 END
   ELSE CASE WHEN depth < 2 THEN 100 WHEN depth <= s THEN 80 WHEN depth <= m THEN 30 ELSE 10 END END AS dss FROM l
 """)
 def desired_score(t: Tables):
@@ -115,14 +116,15 @@ def flow_and_shear(t: Tables):
 
 
 @query("""
-WITH q AS (SELECT event_id, event_id % 90 AS wind, CASE WHEN event_id % 3 = 0 THEN -999 ELSE event_id % 120 END AS a, CASE WHEN event_id % 6 = 0 THEN -999 ELSE event_id % 80 END AS b FROM events)
-SELECT event_id, CASE WHEN wind >= 34 AND a = -999 AND b = -999 THEN 100 WHEN a <> -999 THEN a END::DOUBLE AS r_a, CASE WHEN wind >= 34 AND a = -999 AND b = -999 THEN 100 WHEN b <> -999 THEN b END::DOUBLE AS r_b FROM q
+WITH q AS (SELECT event_id, event_id % 90 AS wind, CASE WHEN event_id % 3 = 0 THEN -999 ELSE event_id % 4 * 30 END AS a, CASE WHEN event_id % 6 = 0 THEN NULL ELSE event_id % 8 * 10 END AS b FROM events),
+r AS (SELECT event_id, CASE WHEN wind >= 34 AND a <= 0 AND coalesce(b, -999) <= 0 THEN 100 WHEN a <> -999 THEN a END::DOUBLE AS r_a, CASE WHEN wind >= 34 AND a <= 0 AND coalesce(b, -999) <= 0 THEN 100 WHEN b <> -999 THEN b END::DOUBLE AS r_b FROM q)
+SELECT *, greatest(coalesce(r_a, 0), 0) * 1.5 AS r0_a FROM r
 """)
 def storm_radii(t: Tables):
     e = F.col("event_id")
-    q = [F.when(e % 3 == 0, -999).otherwise(e % 120), F.when(e % 6 == 0, -999).otherwise(e % 80)]
+    q = [F.when(e % 3 == 0, -999).otherwise(e % 4 * 30), F.when(e % 6 != 0, e % 8 * 10)]
     a, b = S.radii(e % 90, q, 34, 100)
-    return t.events.select("event_id", a.cast("double").alias("r_a"), b.cast("double").alias("r_b"))
+    return t.events.select("event_id", a.cast("double").alias("r_a"), b.cast("double").alias("r_b"), S.outer_radius(a.cast("double")).alias("r0_a"))
 
 
 @query("SELECT count(*) FILTER (abs(l_tax - l_discount) <= 0.00001 + 0.00001 * abs(l_discount)) AS close, count(*) AS n FROM lineitem")

@@ -22,14 +22,15 @@ def neighbourhood_sum(t: Tables):
 
 
 @query(f"""
-WITH p AS ({POINTS}), a AS (SELECT * FROM p WHERE id % 3 = 0), b AS (SELECT * FROM p WHERE id % 3 = 1),
-n AS (SELECT a.id, b.id AS near, sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2) AS d FROM a JOIN b ON (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 100.0 ** 2),
+WITH p AS ({POINTS}), b AS (SELECT p_partkey AS id, (p_partkey * 6007 % 10007)::DOUBLE AS x, (p_partkey * 3001 % 10009)::DOUBLE AS y FROM part),
+n AS (SELECT p.id, b.id AS near, sqrt((p.x - b.x) ** 2 + (p.y - b.y) ** 2) AS d FROM p JOIN b ON (p.x - b.x) ** 2 + (p.y - b.y) ** 2 <= 100.0 ** 2),
 m AS (SELECT id, near, d, row_number() OVER (PARTITION BY id ORDER BY d, near) AS k FROM n)
-SELECT a.id, near, round(d, 6) AS distance FROM a LEFT JOIN (SELECT * FROM m WHERE k = 1) m USING (id)
+SELECT p.id, near, round(d, 6) AS distance FROM p LEFT JOIN (SELECT * FROM m WHERE k = 1) m USING (id)
 """)
 def nearest_within(t: Tables):
-    p = points(t)
-    n = P.nearest(p.where("id % 3 = 0").withColumnRenamed("id", "a_id"), p.where("id % 3 = 1").withColumnRenamed("id", "b_id"), 100.0)
+    k = F.col("p_partkey")
+    sites = t.part.select(k.alias("b_id"), (k * 6007 % 10007).cast("double").alias("x"), (k * 3001 % 10009).cast("double").alias("y"))
+    n = P.nearest(points(t).withColumnRenamed("id", "a_id"), sites, 100.0)
     return n.select(F.col("a_id").alias("id"), F.col("b_id").alias("near"), F.round("distance", 6).alias("distance"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,13 +39,11 @@ def feature_links(json_rows: DataFrame, labels: tuple[str, ...] = ("Metadata", "
 
 
 def sediment_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Sediment samples; rows with a missing share or size (-99 or null) are left out."""
+    """Sediment samples without those whose shares are all -99 or 0, and without those whose grain size is -99."""
     schema = "Latitude double, Longitude double, Gravel double, Sand double, Mud double, Clay double, Grainsze double"
     rows = spark.read.csv(path, header=True, schema=schema)
-    good = [F.col(c).isNotNull() & (F.col(c) != -99) for c in ("Gravel", "Sand", "Mud", "Clay", "Grainsze")]
-    for g in good:
-        rows = rows.where(g)
-    return rows
+    some = [~F.coalesce(F.col(c).isin(-99.0, 0.0), F.lit(False)) for c in ("Gravel", "Sand", "Mud", "Clay")]
+    return rows.where(reduce(lambda a, b: a | b, some) & F.coalesce(F.col("Grainsze") != -99, F.lit(True)))
 
 
 def write_statistics(rows: DataFrame, path: str) -> None:

@@ -12,7 +12,10 @@ def new_cells(spark: SparkSession, folder: str, schema: str) -> DataFrame:
 
 
 def process_new(cells: DataFrame, transform: Callable[[DataFrame], DataFrame], out: str, checkpoint: str):
-    """Applies transform to the files that came since the last call, appends the results, and returns the ended query."""
-    query = cells.writeStream.foreachBatch(lambda batch, _: transform(batch).write.mode("append").parquet(out)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """Applies transform to the files that came since the last call and returns the ended query.
+
+    Each batch has a folder of its own under out, batch=<id>, which a repeated batch overwrites.
+    """
+    query = cells.writeStream.foreachBatch(lambda batch, k: transform(batch).write.mode("overwrite").parquet(f"{out}/batch={k}")).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
