@@ -136,7 +136,7 @@ def test_classifier_on_held_out_rows(spark):
     labels = spark.read.parquet(f"{small}/labels.parquet")
     rows = registry.op3_quality_classifier(spark, small).join(labels, "doc_id").where("held_out").collect()
     assert np.mean([r.predicted == r.quality for r in rows]) >= 0.9
-    assert {r.doc_id % 1 for r in rows} == {0} and all(0 <= r.score <= 1 for r in rows)
+    assert all(0 <= r.score <= 1 for r in rows)
 
 
 def test_surrogates(spark):
@@ -174,7 +174,7 @@ def test_ablations(spark, sf):
 
 def test_mix_reaches_targets(spark, sf):
     rows = registry.op10_mixing(spark, sf).collect()
-    assert sum({(r.source_size, r.target) for r in rows} and [r.size for r in rows]) > 0 and all(r.taken in (0, r.size, 2 * r.size, 3 * r.size) for r in rows)
+    assert sum(r.size for r in rows) > 0 and all(r.taken in (0, r.size, 2 * r.size, 3 * r.size) for r in rows)
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     by = mixing.mix(docs).groupBy("source").agg(F.first("target").alias("t"), F.sum("taken").alias("n"), F.max("size").alias("m"), F.max("source_size").alias("z")).collect()
     assert all(abs(r.t - r.n) <= r.m and r.t <= 3 * r.z + 1e-6 for r in by)
