@@ -122,6 +122,26 @@ def mosaic(layers: DataFrame, rule: str, order: str = "layer") -> DataFrame:
     return some.groupBy("row", "col").agg(agg.alias("z"))
 
 
+def quantiles(cells: DataFrame, shares: list[float], cut) -> DataFrame:
+    """share, value: the values below which shares of all values lie, between neighbours in proportion; nulls do not count.
+
+    Values are range-partitioned, and only how many each partition holds is summed in one place, so none holds them all.
+    cut ends the lineage, as partitions must stay what they are.
+    """
+    held = cut(cells.where("z is not null").select("z").repartitionByRange("z").select("z", F.spark_partition_id().alias("part")))
+    from pyspark.sql.window import Window
+
+    sizes = held.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("z").alias("least"))
+    before = sizes.select(F.col("part").alias("of"), (F.sum("n").over(Window.orderBy("least")) - F.col("n")).alias("before"))
+    ranked = held.withColumn("within", F.row_number().over(Window.partitionBy("part").orderBy("z")) - 1).join(before, F.col("part") == F.col("of"))
+    total = sizes.agg(F.sum("n").alias("total"))
+    wanted = total.select("total", F.explode(F.array(*map(F.lit, map(float, shares)))).alias("share")).withColumn("at", (F.col("total") - 1) * F.col("share"))
+    place = F.col("before") + F.col("within")
+    near = ranked.select("z", place.alias("place")).join(F.broadcast(wanted), (F.col("place") == F.floor("at")) | (F.col("place") == F.ceil("at")))
+    weight = F.when(F.floor("at") == F.ceil("at"), 1.0).otherwise(1 - F.abs(F.col("at") - F.col("place")))
+    return near.groupBy("share").agg(F.sum(F.col("z") * weight).alias("value"))
+
+
 def terrain_class(broad: Column, fine: Column, slope_deg: Column, b: tuple[Column, Column], f: tuple[Column, Column], s: Column) -> Column:
     """First of eight rules over broad and fine position index and slope, with low and high breaks."""
     return (

@@ -75,18 +75,22 @@ def _tiled(polygons: DataFrame, prefix: str, size: float) -> DataFrame:
     return _boxed(polygons.where(F.size("ring") > 0), prefix).withColumn("tx", span("x")).withColumn("ty", span("y"))
 
 
+#: Most candidates of a tile fail this, and it costs next to nothing.
+_IN_BOX = "x >= bx0 and x <= bx1 and y >= by0 and y <= by1"
+
+
 def within(points: DataFrame, polygons: DataFrame, size: float) -> DataFrame:
     """Points (x, y and any columns) with each polygon (poly_id) that holds them; null places are within none."""
-    tiled = _tiled(polygons.select("poly_id", "ring"), "b", size).select("poly_id", "ring", "tx", "ty")
+    tiled = _tiled(polygons.select("poly_id", "ring"), "b", size)
     placed = points.withColumns({"tx": _tile(F.col("x"), size), "ty": _tile(F.col("y"), size)})
-    return placed.join(tiled, ["tx", "ty"]).where(holds(F.col("ring"), F.col("x"), F.col("y"))).drop("tx", "ty", "ring")
+    return placed.join(tiled, ["tx", "ty"]).where(_IN_BOX).where(holds(F.col("ring"), F.col("x"), F.col("y"))).drop("tx", "ty", "ring", "bx0", "by0", "bx1", "by1")
 
 
 def clip(points: DataFrame, polygons: DataFrame, size: float) -> DataFrame:
     """The points that some polygon holds, each once."""
-    tiled = _tiled(polygons.select("poly_id", "ring"), "b", size).select("ring", "tx", "ty")
+    tiled = _tiled(polygons.select("poly_id", "ring"), "b", size).drop("poly_id")
     placed = points.withColumns({"px": _tile(F.col("x"), size), "py": _tile(F.col("y"), size)})
-    found = (F.col("px") == F.col("tx")) & (F.col("py") == F.col("ty")) & holds(F.col("ring"), F.col("x"), F.col("y"))
+    found = (F.col("px") == F.col("tx")) & (F.col("py") == F.col("ty")) & F.expr(_IN_BOX) & holds(F.col("ring"), F.col("x"), F.col("y"))
     return placed.join(tiled, found, "left_semi").drop("px", "py")
 
 

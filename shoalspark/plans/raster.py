@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import grid as G
+from ..operators.lineage import cut
 from ..sqlpair import Tables, query
 
 CELLS = "SELECT (l_orderkey % 64)::INT AS r, (l_partkey % 64)::INT AS c, avg(l_quantity) AS z FROM lineitem GROUP BY 1, 2"
@@ -48,14 +49,16 @@ def box_mean(t: Tables):
     return _rounded(G.box_mean(cells(t), 2), "mean")
 
 
-@query(f"""
-WITH g AS (SELECT r, c, CASE WHEN (r * 7 + c * 3) % 5 = 0 THEN NULL ELSE z END AS z FROM ({CELLS})),
-a AS (SELECT g.r, g.c, coalesce(g.z, (SELECT avg(b.z) FROM g b WHERE b.r BETWEEN g.r - 1 AND g.r + 1 AND b.c BETWEEN g.c - 1 AND g.c + 1)) AS z FROM g)
-SELECT r AS row, c AS col, round(z, 6) AS z FROM a
-""")
+_FILLED = "".join(
+    f""", a{k} AS (SELECT g.r, g.c, coalesce(g.z, (SELECT avg(b.z) FROM a{k - 1} b WHERE b.r BETWEEN g.r - 2 AND g.r + 2 AND b.c BETWEEN g.c - 2 AND g.c + 2)) AS z FROM a{k - 1} g)"""
+    for k in range(1, 6)
+)
+
+
+@query(f"WITH a0 AS (SELECT r, c, CASE WHEN r % 20 < 4 OR c % 30 < 3 THEN z END AS z FROM ({CELLS})){_FILLED} SELECT r AS row, c AS col, round(z, 6) AS z FROM a5")
 def focal_fill(t: Tables):
-    holes = cells(t).withColumn("z", F.when((F.col("row") * 7 + F.col("col") * 3) % 5 != 0, F.col("z")))
-    return _rounded(G.focal_fill(holes, 1, 1), "z")
+    holes = cells(t).withColumn("z", F.when((F.col("row") % 20 < 4) | (F.col("col") % 30 < 3), F.col("z")))
+    return _rounded(G.focal_fill(holes, 2, 5, cut), "z")
 
 
 @query(f"WITH g AS ({CELLS}) SELECT a.r AS row, a.c AS col, round(a.z - avg(b.z), 6) AS bpi FROM g a LEFT JOIN g b ON (b.r - a.r) ** 2 + (b.c - a.c) ** 2 <= 16 AND (b.r - a.r) ** 2 + (b.c - a.c) ** 2 > 1 GROUP BY a.r, a.c, a.z")
@@ -63,9 +66,9 @@ def position_index_fine(t: Tables):
     return _rounded(G.position_index(cells(t), 1, 4), "bpi")
 
 
-@query(f"WITH g AS ({CELLS}) SELECT a.r AS row, a.c AS col, round(a.z - avg(b.z), 5) AS bpi FROM g a LEFT JOIN g b ON (b.r - a.r) ** 2 + (b.c - a.c) ** 2 <= 100 AND (b.r - a.r) ** 2 + (b.c - a.c) ** 2 > 16 GROUP BY a.r, a.c, a.z")
+@query(f"WITH g AS ({CELLS}) SELECT a.r AS row, a.c AS col, round(a.z - avg(b.z), 5) AS bpi FROM g a LEFT JOIN g b ON (b.r - a.r) ** 2 + (b.c - a.c) ** 2 <= 900 AND (b.r - a.r) ** 2 + (b.c - a.c) ** 2 > 100 GROUP BY a.r, a.c, a.z")
 def position_index_broad(t: Tables):
-    return _rounded(G.position_index_blocks(cells(t), 4, 10, block=32), "bpi", n=5)
+    return _rounded(G.position_index_blocks(cells(t), 10, 30, block=32), "bpi", n=5)
 
 
 @query(f"WITH g AS ({CELLS}) SELECT r // 4 AS row, c // 4 AS col, max(z) AS z FROM g GROUP BY ALL")
@@ -109,7 +112,9 @@ def mask_or_merge(t: Tables):
 
 @query(f"WITH g AS ({CELLS}) SELECT round(quantile_cont(z, 0.15), 6) AS low, round(quantile_cont(z, 0.85), 6) AS high FROM g")
 def quantile_breaks(t: Tables):
-    return cells(t).agg(F.round(F.percentile("z", F.lit(0.15)), 6).alias("low"), F.round(F.percentile("z", F.lit(0.85)), 6).alias("high"))
+    q = G.quantiles(cells(t), [0.15, 0.85], cut)
+    of = lambda share: F.round(F.max(F.when(F.col("share") == share, F.col("value"))), 6)
+    return q.agg(of(0.15).alias("low"), of(0.85).alias("high"))
 
 
 @query(f"""

@@ -16,9 +16,8 @@ def points(t: Tables):
 
 @query(f"WITH p AS ({POINTS}) SELECT a.id, count(*) - 1 AS neighbours, sum(b.id % 10)::BIGINT AS weight FROM p a JOIN p b ON (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 150.0 ** 2 GROUP BY a.id")
 def neighbourhood_sum(t: Tables):
-    p = points(t)
-    pairs = P.near_pairs(p.withColumnRenamed("id", "a_id"), p.withColumnRenamed("id", "b_id"), 150.0)
-    return pairs.groupBy(F.col("a_id").alias("id")).agg((F.count(F.lit(1)) - 1).alias("neighbours"), F.sum(F.col("b_id") % 10).alias("weight"))
+    near = P.neighbourhood(points(t).withColumn("weight", F.col("id") % 10), 150.0)
+    return near.select("id", (F.col("n") - 1).alias("neighbours"), F.col("total").alias("weight"))
 
 
 @query(f"""
