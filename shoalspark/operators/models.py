@@ -32,11 +32,15 @@ def metrics(rows: DataFrame, group: str, actual: str, predicted: str) -> DataFra
     return sums.select(group, "rmse", "mae", (1 - F.try_divide("sse", "sst")).alias("r2"))
 
 
-def binned(rows: DataFrame, value: str, target: str, bins: int) -> DataFrame:
-    """bin with mean, least and largest target over equal bins of value, the last closed."""
-    span = rows.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    at = F.least(F.floor((F.col(value) - F.col("lo")) * bins / F.nullif(F.col("hi") - F.col("lo"), F.lit(0))), F.lit(bins - 1)).cast("int")
-    return rows.crossJoin(F.broadcast(span)).withColumn("bin", F.coalesce(at, F.lit(0))).groupBy("bin").agg(F.avg(target).alias("mean"), F.min(target).alias("least"), F.max(target).alias("largest"))
+def binned(rows: DataFrame, by: str, value: str, target: str, bins: int) -> DataFrame:
+    """by, bin with mean, least and largest target over equal bins of value within each of by, closed on the right.
+
+    The least value is in the first bin; where all values are one they are in the middle. Null values are in none.
+    """
+    span = rows.groupBy(by).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
+    at = F.greatest(F.ceil((F.col(value) - F.col("lo")) * bins / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))) - 1, F.lit(0))
+    placed = rows.where(F.col(value).isNotNull()).join(span, by).withColumn("bin", F.when(F.col("hi") == F.col("lo"), -(-bins // 2) - 1).otherwise(at).cast("int"))
+    return placed.groupBy(by, "bin").agg(F.avg(target).alias("mean"), F.min(target).alias("least"), F.max(target).alias("largest"))
 
 
 def boosted(rows: DataFrame, features: list[str], target: str, rounds: int = 20, depth: int = 4, rate: float = 0.1, seed: int = 1):

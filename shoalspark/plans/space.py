@@ -100,11 +100,12 @@ def metrics_rmse_mae_r2(t: Tables):
 
 
 @query("""
-WITH s AS (SELECT min(p_size)::DOUBLE AS lo, max(p_size)::DOUBLE AS hi FROM part)
-SELECT least(floor((p_size - lo) * 10 / (hi - lo)), 9)::INT AS bin, round(avg(p_retailprice), 6) AS mean, min(p_retailprice) AS least, max(p_retailprice) AS largest FROM part, s GROUP BY 1
+WITH v AS (SELECT 'size' AS predictor, p_size::DOUBLE AS v, p_retailprice AS t FROM part UNION ALL SELECT 'key', p_partkey, p_retailprice FROM part), s AS (SELECT predictor, min(v) AS lo, max(v) AS hi FROM v GROUP BY ALL)
+SELECT predictor, greatest(ceil((v - lo) * 10 / (hi - lo)) - 1, 0)::INT AS bin, round(avg(t), 6) AS mean, min(t) AS least, max(t) AS largest FROM v JOIN s USING (predictor) GROUP BY ALL
 """)
 def binned_min_mean_max(t: Tables):
-    return M.binned(t.part.select(F.col("p_size").cast("double").alias("v"), "p_retailprice"), "v", "p_retailprice", 10).withColumn("mean", F.round("mean", 6))
+    tall = t.part.select("p_retailprice", F.col("p_size").cast("double").alias("size"), F.col("p_partkey").cast("double").alias("key")).unpivot(["p_retailprice"], ["size", "key"], "predictor", "v")
+    return M.binned(tall, "predictor", "v", "p_retailprice", 10).withColumn("mean", F.round("mean", 6))
 
 
 @query("SELECT event_type, round(corr(value, user_id), 6) AS r, round(avg(value - user_id), 6) AS diff, count(*) FILTER (abs(value - user_id) < 10) AS matches FROM events GROUP BY event_type")
