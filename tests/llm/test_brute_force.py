@@ -187,7 +187,7 @@ def test_pipeline(spark, sf):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, sf).cache()
         assert docs.columns == columns, name
-        if name == "simhash_dedup":
+        if name == "near_dedup":
             left = simhash.near_duplicates(docs)
             assert left.where("doc_id != component_id").count() == 0
             before = docs.count()
