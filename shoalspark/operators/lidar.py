@@ -60,15 +60,9 @@ def folder_years(folders: DataFrame) -> DataFrame:
 
 def time_frames(xml: Column, otherwise: Column) -> Column:
     """The time-frames of a metadata document as structs of description, start and end; the description is otherwise where it has none."""
-    at = lambda path: F.xpath_string(xml, F.lit(path))
-    n = F.coalesce(F.xpath_int(xml, F.lit("count(//time-frame)")), F.lit(0))
-    each = lambda field: F.xpath(xml, F.lit(f"//time-frame/{field}/text()"))
-    described = F.coalesce(F.nullif(at("(//time-frame)[1]/description"), F.lit("")), otherwise)
-    frame = lambda k: F.struct(
-        F.when(F.size(each("description")) == n, F.get(each("description"), k)).when(n == 1, described).otherwise(otherwise).alias("description"),
-        F.get(each("start-date-time"), k).alias("start"), F.get(each("end-date-time"), k).alias("end"),
-    )
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), frame)).otherwise(F.array().cast("array<struct<description:string,start:string,end:string>>"))
+    of = lambda frame, field: F.nullif(F.xpath_string(frame, F.lit(f"/time-frame/{field}")), F.lit(""))
+    frames = F.regexp_extract_all(xml, F.lit(r"(?s)<time-frame(?=[\s>]).*?</time-frame>"), F.lit(0))
+    return F.transform(frames, lambda f: F.struct(F.coalesce(of(f, "description"), otherwise).alias("description"), of(f, "start-date-time").alias("start"), of(f, "end-date-time").alias("end")))
 
 
 def seabed(value: Column, metric: Column) -> Column:

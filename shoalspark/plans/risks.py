@@ -106,7 +106,7 @@ def _lidar_names(t: Tables):
 
 @query("""
 WITH n AS (SELECT o_orderkey AS k, o_custkey % 4 AS c, o_orderstatus AS s FROM orders)
-SELECT CASE c WHEN 0 THEN 'FL_2015_USACE_NCMP_' WHEN 1 THEN 'GA_2010_Topo_' ELSE 'SC_Survey_' END || k || '_resampled.tif' AS name, CASE c WHEN 0 THEN '2015' WHEN 1 THEN '2010' ELSE 'No Year Found' END AS year,
+SELECT CASE c WHEN 0 THEN 'FL_2015_USACE_NCMP_' WHEN 1 THEN 'GA_2010_Topo_' ELSE 'SC_Survey_' END || k || '_resampled.tif' AS name, CASE WHEN c = 0 THEN '2015' WHEN c = 1 THEN '2010' WHEN k BETWEEN 1800 AND 2099 THEN k::VARCHAR ELSE 'No Year Found' END AS year,
   k::VARCHAR AS id, CASE c WHEN 0 THEN 'USACE' WHEN 1 THEN 'Topo' ELSE 'Survey' END AS dataset, c = 2 AS manual, c <> 1 AS used FROM n WHERE s <> 'O' AND c < 3
 """)
 def lidar_selection(t: Tables):
