@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embeddings, mixing, packing, pii, quality_classifier, quality_rules, secrets, simhash, token_counts, warc
+from . import conversations, embeddings, mixing, packing, pii, quality_classifier, quality_rules, secrets, simhash, token_counts, warc
 from .common import table
 from .sql import ORACLES
 
@@ -66,8 +66,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every = table(spark, sf_dir, "conversations")
+    return conversations.repair(conversations.damage(every), every)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_quality_rules, op2_secret_scan, op3_quality_classifier, op4_pii_surrogates, op5_packing, op6_warc, op7_simhash, op8_embedding_links, op9_token_counts, op10_mixing)
+    every = (op1_quality_rules, op2_secret_scan, op3_quality_classifier, op4_pii_surrogates, op5_packing, op6_warc, op7_simhash, op8_embedding_links, op9_token_counts, op10_mixing, op11_conversation_repair)
     return {f.__name__: f for f in every}
 
 

@@ -1,6 +1,7 @@
 """DuckDB SQL for the operators that SQL can express."""
 
 from .secrets import KINDS, PLACEHOLDER
+from .sql_conversations import OP11
 
 WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -82,4 +83,4 @@ SELECT doc_id, size, source_size, target, (size * (epochs + CASE WHEN upto - siz
 FROM p JOIN e ON p.source IS NOT DISTINCT FROM e.source
 """
 
-ORACLES = {"op1_quality_rules": OP1, "op2_secret_scan": OP2, "op6_warc": OP6, "op10_mixing": OP10}
+ORACLES = {"op1_quality_rules": OP1, "op2_secret_scan": OP2, "op6_warc": OP6, "op10_mixing": OP10, "op11_conversation_repair": OP11}
