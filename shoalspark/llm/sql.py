@@ -83,4 +83,21 @@ SELECT doc_id, size, source_size, target, (size * (epochs + CASE WHEN upto - siz
 FROM p JOIN e ON p.source IS NOT DISTINCT FROM e.source
 """
 
-ORACLES = {"op1_quality_rules": OP1, "op2_secret_scan": OP2, "op6_warc": OP6, "op10_mixing": OP10, "op11_conversation_repair": OP11}
+OP13 = r"""
+WITH d AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS p FROM d),
+w AS (SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k))),
+f AS (SELECT lang, k, phrase, count(*)::BIGINT AS a FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT f.*, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+s AS (SELECT c.lang, c.phrase, c.k, c.w, c.a, min({'score': (2000000::HUGEINT * c.a // (x.a + y.a))::BIGINT, 'cut': i, 'l': x.a, 'r': y.a}) AS m
+    FROM (SELECT *, unnest(range(1, k)) AS i FROM c) c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:i], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[i + 1:], ' ')
+    GROUP BY ALL),
+inside AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS i FROM c, (SELECT unnest([2, 3]) AS m) WHERE m < k) GROUP BY ALL),
+r AS (SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY m.score DESC, a DESC, s.phrase) AS rank FROM s LEFT JOIN inside USING (lang, phrase)
+    WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a)
+SELECT lang, rank, phrase, a, m.l AS l, m.r AS r, n, m.score AS score FROM r JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+ORACLES = {"op1_quality_rules": OP1, "op2_secret_scan": OP2, "op6_warc": OP6, "op10_mixing": OP10, "op11_conversation_repair": OP11, "op13_collocations": OP13}
