@@ -114,18 +114,18 @@ def encoded_by_join(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def bounds(dictionary: DataFrame, most: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
-    """First number and share of occurrences of blocks of numbers, at most twice most: the frequent words one by one, then many in a block."""
+    """First numbers (with the end) and shares of occurrences of blocks of numbers, at most twice most: the frequent words one by one, then many in a block."""
     total = dictionary.agg(F.count(F.lit(1)), F.sum("n")).first()
     width = max(1, -(-((total[0] or 0) - most) // most))
     block = F.when(F.col("id") <= most, F.col("id")).otherwise(most + 1 + F.floor((F.col("id") - most - 1) / width)).cast("long")
     rows = dictionary.groupBy(block.alias("b")).agg(F.min("id").alias("id"), F.sum("n").alias("n")).orderBy("b").toPandas()
-    return rows["id"].to_numpy(np.int64), rows["n"].to_numpy(float) / max(1, total[1] or 0)
+    return np.append(rows["id"].to_numpy(np.int64), (total[0] or 0) + 1), rows["n"].to_numpy(float) / max(1, total[1] or 0)
 
 
 def place(first: np.ndarray, second: np.ndarray, starts: np.ndarray, shares: np.ndarray) -> np.ndarray:
     """Where a key lies among all, from 0 to 1, if its two first words met by chance; it never falls as keys rise."""
     before = np.append(0.0, np.cumsum(shares))
-    widths = np.diff(np.append(starts, starts[-1:] + 1)) if len(starts) else starts
+    widths = np.diff(starts)
     b1, b2 = (np.searchsorted(starts, x, "right") - 1 for x in (first, second))
     inside = np.where(widths[b1] == 1, before[b2], (first - starts[b1]) / widths[b1])
     return before[b1] + shares[b1] * np.minimum(inside, 1)
