@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import collocations, conversations, embeddings, mixing, packing, pii, quality_classifier, quality_rules, secrets, simhash, token_counts, warc
+from . import collocations, conversations, embeddings, language_model, mixing, packing, pii, quality_classifier, quality_rules, secrets, simhash, token_counts, warc
 from .common import table
 from .sql import ORACLES
 
@@ -71,12 +71,16 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(conversations.damage(every), every)
 
 
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_quality_rules, op2_secret_scan, op3_quality_classifier, op4_pii_surrogates, op5_packing, op6_warc, op7_simhash, op8_embedding_links, op9_token_counts, op10_mixing, op11_conversation_repair, op13_collocations)
+    every = (op1_quality_rules, op2_secret_scan, op3_quality_classifier, op4_pii_surrogates, op5_packing, op6_warc, op7_simhash, op8_embedding_links, op9_token_counts, op10_mixing, op11_conversation_repair, op12_language_model, op13_collocations)
     return {f.__name__: f for f in every}
 
 
