@@ -24,6 +24,8 @@ from .common import cut, delete_folder, if_small, shared_dir
 UPPER, BREAKS, BLANKS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ".,;:!?\x0a\x0b\x0c\x0d", " \t"
 _TABLE = bytes.maketrans((UPPER + BREAKS + BLANKS).encode(), (UPPER.lower() + "." * len(BREAKS) + " " * len(BLANKS)).encode())
 MOST_WORDS = 4
+#: Numbers in one array, about, and keys made at once; a text is never parted.
+IDS = 1 << 18
 #: Numbers fill 31 bits, so that bigints sort as their bits do.
 LAST_NUMBER = (1 << 31) - 1
 
@@ -44,22 +46,25 @@ def _words(docs: DataFrame, held: int) -> DataFrame:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: dict[str, Counter] = {}
+        size = 0
 
-        def rows() -> pd.DataFrame:
-            made = [(lang, w.decode(), n) for lang, own in counts.items() for w, n in own.items() if w != b"."]
-            made += [(lang, None, sum(n for w, n in own.items() if w != b".")) for lang, own in counts.items()]
-            counts.clear()
-            return pd.DataFrame(made, columns=["lang", "word", "n"])
+        def rows() -> Iterator[pd.DataFrame]:
+            while counts:
+                lang, own = counts.popitem()
+                own.pop(b".", None)
+                yield pd.DataFrame({"lang": lang, "word": [*map(bytes.decode, own), None], "n": [*own.values(), own.total()]})
 
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
                 own = counts.setdefault(lang, Counter())
                 for block in tokens(text):
+                    before = len(own)
                     own.update(block)
-                    if len(own) > held:
-                        yield rows()
-                        own = counts.setdefault(lang, Counter())
-        yield rows()
+                    size += len(own) - before
+                    if size > held:
+                        yield from rows()
+                        own, size = counts.setdefault(lang, Counter()), 0
+        yield from rows()
 
     return docs.mapInPandas(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
@@ -80,7 +85,7 @@ def numbered(frequent: DataFrame) -> DataFrame:
 
 
 def encoded_in_tasks(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """ids: an array for each batch and lang, with 0 between pieces. The dictionary goes to all tasks."""
+    """ids: arrays of the texts of one lang, with 0 between pieces; each ends with a text. The dictionary goes to all tasks."""
     rows = dictionary.select("lang", "word", "id").toPandas()
     of: dict[str, dict[bytes, int]] = {}
     for lang, word, number in zip(rows["lang"], rows["word"], rows["id"], strict=True):
@@ -91,12 +96,15 @@ def encoded_in_tasks(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
         known = sent.value
         for batch in batches:
             for lang, texts in batch.groupby("lang")["text"]:
-                get, made = known.get(lang, {}).get, []
-                for text in texts:
+                get, made, size = known.get(lang, {}).get, [], 0
+                for k, text in enumerate(texts, 1):
                     made += [np.fromiter((get(w, 0) for w in block), np.int32, len(block)) for block in tokens(text)]
                     made.append(np.zeros(1, np.int32))
-                ids = np.concatenate(made)
-                yield pd.DataFrame({"ids": [ids[np.append(True, (ids[1:] != 0) | (ids[:-1] != 0))]]})
+                    size += sum(map(len, made[-2:]))
+                    if size > IDS or k == len(texts):
+                        ids = np.concatenate(made)
+                        yield pd.DataFrame({"ids": [ids[np.append(True, (ids[1:] != 0) | (ids[:-1] != 0))]]})
+                        made, size = [], 0
 
     return docs.mapInPandas(encode, "ids array<int>")
 
@@ -191,12 +199,13 @@ def _counted(encoded: DataFrame, words: int, least: int, frequent, edges, partit
             return pd.DataFrame({"part": np.minimum(where * partitions, partitions - 1).astype(np.int32), "hi": hi, "lo": lo, "n": n})
 
         for batch in batches:
-            for ids in batch["ids"]:
-                kept.append(grams(np.asarray(ids), words, known))
-                size += len(kept[-1][0])
-                if size > held:
-                    yield flush()
-                    size = 0
+            for ids in map(np.asarray, batch["ids"]):
+                for at in range(0, len(ids), IDS):
+                    kept.append(grams(ids[at : at + IDS + words - 1], words, known))
+                    size += len(kept[-1][0])
+                    if size > held:
+                        yield flush()
+                        size = 0
         yield flush()
 
     def all_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -241,11 +250,11 @@ def _wide(c: Column | str) -> Column:
     return F.col(c).cast("decimal(20,0)") if isinstance(c, str) else c.cast("decimal(20,0)")
 
 
-def phrase_counts(docs: DataFrame, least: int, dictionary_rows: int, pruning_rows: int, held: int = 1 << 22) -> tuple[DataFrame, DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, least: int, dictionary_rows: int, pruning_rows: int, held: int = 1 << 21) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Totals (lang, n), dictionary (lang, word, n, id) and phrases (hi, lo, words, a) of the frequent words and phrases."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    words = cut(_words(rows, 400_000).where(F.col("word").isNull() | (F.col("n") >= least)))
+    words = cut(_words(rows, 200_000).where(F.col("word").isNull() | (F.col("n") >= least)))
     totals, dictionary = words.where("word is null").select("lang", "n"), cut(numbered(words.where("word is not null")))
     encode = encoded_in_tasks if dictionary.count() <= dictionary_rows else encoded_by_join
     folder = f"{shared_dir(spark).rstrip('/')}/collocations-{uuid.uuid4().hex}"

@@ -29,11 +29,12 @@ def by_sql(data):
     return db.execute(f"SELECT lang, rank, phrase, a, l, r, n, score FROM ({ORACLES['op13_collocations']}) ORDER BY 1, 2").fetchall()
 
 
-def test_awkward_rows_equal_the_sql_in_every_way(spark):
+def test_awkward_rows_equal_the_sql_in_every_way(spark, monkeypatch):
     data = rows()
     df = spark.createDataFrame([(*r, 1, "w", 2) for r in data], SCHEMA).repartition(5)
     expected = by_sql(data)
     assert len(expected) > 100 and {r[0] for r in expected} >= {"en", "de", "und"}
+    monkeypatch.setattr(P, "IDS", 50)
     for options in ({}, {"dictionary_rows": 0, "pruning_rows": 0}, {"pruning_rows": 20}):
         found = P.collocations(df, **options)
         assert [tuple(r) for r in found.orderBy("lang", "rank").collect()] == expected, options
