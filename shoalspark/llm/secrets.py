@@ -6,6 +6,8 @@ that many owners carry is a copied example; one that a single owner carries and
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,22 +29,39 @@ BASE = ("assign", "access", "hex")
 PLACEHOLDER = r"(?i)example|changeme|change_me|placeholder|dummy|your[_-]?|xxxx|12345678|abcdefgh"
 
 
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def _starts(lengths: Column) -> Column:
+    """Sums of all lengths before each: first within blocks of about the square root of the array's size, then of the blocks.
+
+    A fold that grows one array would copy it for each element; these grow to the square root alone.
+    """
+    one = lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+    sums = lambda a: F.aggregate(a, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), one)
+
+    def of(a: Column, width: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / width).cast("int")), lambda b: sums(F.slice(a, b * width + 1, width)))
+        return _let(blocks, lambda inner: F.flatten(F.zip_with(inner, sums(F.transform(inner, lambda x: x["at"]))["out"], lambda x, before: F.transform(x["out"], lambda y: y + before))))
+
+    return _let(lengths, lambda a: F.when(F.size(a) > 0, of(a, F.ceil(F.sqrt(F.size(a))).cast("int"))).otherwise(F.array().cast("array<int>")))
+
+
 def _matches(text: Column, kind: str) -> Column:
     """Array of structs (start, stop, kind, ord, value) in code points; the gaps that split() leaves give the places."""
     pattern, group, least = KINDS[kind]
     pattern = SCAN.get(kind, pattern)
     found, values, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.split(text, pattern, -1)
-    zipped = F.arrays_zip(found.alias("m"), values.alias("v"), F.slice(gaps, 1, F.size(found)).alias("g"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int,kind:string,ord:int,value:string>>").alias("out"))
+    lengths = F.transform(F.arrays_zip(found.alias("m"), values.alias("v"), F.slice(gaps, 1, F.size(found)).alias("g")), lambda x: F.struct(F.length(x["g"]).alias("g"), F.length(x["m"]).alias("m"), x["v"].alias("v")))
 
-    def step(acc: Column, x: Column) -> Column:
-        a = acc["at"] + F.length(x["g"])
-        b = a + F.length(x["m"])
-        one = F.array(F.struct(a.alias("start"), b.alias("stop"), F.lit(kind).alias("kind"), F.lit(list(KINDS).index(kind)).alias("ord"), x["v"].alias("value")))
-        return F.struct(b.alias("at"), F.when(F.length(x["v"]) >= least, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+    def placed(z: Column) -> Column:
+        at = lambda x, before: F.struct((before + x["g"]).alias("start"), (before + x["g"] + x["m"]).alias("stop"), F.lit(kind).alias("kind"), F.lit(list(KINDS).index(kind)).alias("ord"), x["v"].alias("value"))
+        return F.filter(F.zip_with(z, _starts(F.transform(z, lambda x: x["g"] + x["m"])), at), lambda s: F.length(s["value"]) >= least)
 
     none = F.array().cast("array<struct<start:int,stop:int,kind:string,ord:int,value:string>>")
-    return F.when(text.rlike(pattern), F.aggregate(zipped, start, step, lambda acc: acc["out"])).otherwise(none)
+    return F.when(text.rlike(pattern), _let(lengths, placed)).otherwise(none)
 
 
 def _joined(spans: Column) -> Column:
