@@ -156,16 +156,67 @@ def terrain_class(broad: Column, fine: Column, slope_deg: Column, b: tuple[Colum
     )
 
 
+def box_mean_blocks(cells: DataFrame, half: int, block: int = 256) -> DataFrame:
+    """Mean of the values within half cells to each side, for all cells of the box round the table's cells that see one.
+
+    For wide squares: blocks at least twice as wide as the halo, so a cell goes to four of them on the whole, and sums from
+    tables of running sums over rows and columns.
+    """
+    block = max(block, 2 * half)
+    b = lambda c, d: F.floor((F.col(c) + d) / block).cast("int")
+    spread = cells.where("z is not null").select("row", "col", F.col("z").cast("double").alias("z"), F.explode(F.array_distinct(F.array(*[F.struct(b("row", i).alias("br"), b("col", j).alias("bc")) for i in (-half, 0, half) for j in (-half, 0, half)]))).alias("b"))
+    n = block + 2 * half
+
+    def one(group: pd.DataFrame) -> pd.DataFrame:
+        r0, c0 = group["br"].iloc[0] * block - half, group["bc"].iloc[0] * block - half
+        i, j = group["row"].to_numpy() - r0, group["col"].to_numpy() - c0
+        made = []
+        for values in (group["z"].to_numpy(), np.ones(len(group))):
+            upto = np.zeros((n + 1, n + 1))
+            upto[i + 1, j + 1] = values
+            upto = upto.cumsum(0).cumsum(1)
+            w = 2 * half + 1
+            made.append(upto[w:, w:] - upto[:-w, w:] - upto[w:, :-w] + upto[:-w, :-w])
+        total, count = made[0], np.rint(made[1])
+        i, j = np.nonzero(count)
+        return pd.DataFrame({"row": i + r0 + half, "col": j + c0 + half, "mean": total[i, j] / count[i, j]})
+
+    means = spread.select("row", "col", "z", "b.*").groupBy("br", "bc").applyInPandas(one, "row int, col int, mean double")
+    box = cells.agg(*[f(c).alias(f"{n}_{c}") for c in ("row", "col") for n, f in (("lo", F.min), ("hi", F.max))])
+    return means.join(F.broadcast(box)).where("row between lo_row and hi_row and col between lo_col and hi_col").select("row", "col", "mean")
+
+
 def smoothed(cells: DataFrame, metres: float, size: float) -> DataFrame:
     """Mean of the values within a square of metres to each side; cells without a value that see one get it too.
 
-    The layers of sediment in suspension are filled so, and reach out from their data.
+    The layers of sediment in suspension are filled so. Cells outside the box round the table's cells are none of the raster.
+    """
+    return box_mean_blocks(cells, int(metres / size)).withColumnRenamed("mean", "z")
+
+
+def downslope(cells: DataFrame) -> DataFrame:
+    """row, col, down (struct of dr and dc): which way a cell falls, by central differences, one-sided at an edge; level cells are absent."""
+    cross = [(0, 0), (-1, 0), (1, 0), (0, -1), (0, 1)]
+    n = scatter(cells, cross, _at(0, 0).alias("z"), *[_at(i, j).alias(k) for k, (i, j) in zip("nswe", cross[1:], strict=True)]).where("z is not null")
+    axis = lambda a, b: F.coalesce((F.col(b) - F.col(a)) / 2, F.col(b) - F.col("z"), F.col("z") - F.col(a), F.lit(0.0))
+    return n.select("row", "col", F.struct((-axis("n", "s")).alias("dr"), (-axis("w", "e")).alias("dc")).alias("down")).where("down.dr != 0 or down.dc != 0")
+
+
+def convergence_index(cells: DataFrame) -> DataFrame:
+    """Mean angle between the way the neighbours fall and the direction from them to the cell, less 90 degrees.
+
+    -90 where all neighbours fall towards the cell, 90 where all fall away from it. Level neighbours have no direction and
+    do not count; a cell without others is left out.
     """
-    return box_mean(cells, int(metres / size), whole=True).withColumnRenamed("mean", "z")
+    ways = downslope(cells).withColumnRenamed("down", "z")
+    v, away = F.col("v"), [o for o in RING if o != (0, 0)]
+    along = -(v["dr"] * F.col("dr") + v["dc"] * F.col("dc")) / (F.sqrt(v["dr"] * v["dr"] + v["dc"] * v["dc"]) * F.sqrt(F.col("dr") * F.col("dr") + F.col("dc") * F.col("dc")))
+    angle = F.degrees(F.acos(F.greatest(F.least(along, F.lit(1.0)), F.lit(-1.0))))
+    return scatter(ways, away, (F.avg(angle) - 90).alias("index")).join(cells.where("z is not null").select("row", "col"), ["row", "col"], "left_semi")
 
 
 def convergence(cells: DataFrame) -> DataFrame:
-    """Mean of the eight neighbours less the value, for cells that have all eight."""
+    """Mean of the eight neighbours less the value, for cells that have all eight: a simple stand-in for convergence_index."""
     side = F.when((F.col("dr") != 0) | (F.col("dc") != 0), F.col("v"))
     around = scatter(cells, RING, _at(0, 0).alias("z"), F.avg(side).alias("mean"), F.count(side).alias("n")).where("z is not null and n = 8")
     return around.select("row", "col", (F.col("mean") - F.col("z")).alias("tci"))

@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df, checkpointed in spark.checkpoint.dir; a temporary folder is set only where none is, as in local tests."""
+    """df, checkpointed in spark.checkpoint.dir; only a local master may go without the setting and gets a temporary folder."""
     session = df.sparkSession
     context = session.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(session.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        folder = session.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return df.checkpoint()

@@ -168,19 +168,27 @@ def hulls(polygons: DataFrame, keys: list[str]) -> DataFrame:
     return polygons.select(*keys, "rings").mapInPandas(run, f"{kinds}, ring array<struct<x:double,y:double>>")
 
 
+def apart(one: Column, other: Column) -> Column:
+    """Whether two convex rings, counter-clockwise, have no inner point in common: a side of one has all of the other beyond it."""
+    beyond = lambda a, b: F.exists(edges(a), lambda e: F.forall(b, lambda p: _side(e["a"], e["b"], p) <= 0))
+    return beyond(one, other) | beyond(other, one)
+
+
 def swaths(fixes: DataFrame) -> DataFrame:
-    """Hulls of the quarter circles of consecutive fixes: storm, quadrant, wind and order, x, y, radius -> storm, quadrant, wind, ring.
+    """Where winds reach: storm, quadrant, wind and order, x, y, radius -> storm, quadrant, wind, ring, in any number of rows.
 
-    Each pair of fixes of a storm, quadrant and wind that both have a radius gives a swath; a lone fix its quarter circle.
+    Each fix with a radius gives its quarter circle. Where the quarters of consecutive fixes of a storm, quadrant and wind
+    overlap, they are the swath as they are; where they do not, the convex hull of both is added. A place is reached if some
+    ring of the storm, quadrant and wind holds it.
     """
     from pyspark.sql.window import Window
 
     rows = fixes.where("radius > 0")
     ring = F.coalesce(*[F.when(F.col("quadrant") == q, quarter_circle(F.col("x"), F.col("y"), F.col("radius"), q)) for q in QUADRANTS])
-    w = Window.partitionBy("storm", "quadrant", "wind").orderBy("order")
-    both = rows.withColumn("own", ring).withColumn("next", F.lead("own").over(w)).withColumn("before", F.lag("order").over(w))
-    used = both.where("next is not null or before is null").select("storm", "quadrant", "wind", F.when(F.col("next").isNull(), F.array("own")).otherwise(F.array("own", "next")).alias("rings"))
-    return hulls(used, ["storm", "quadrant", "wind"])
+    keys = ["storm", "quadrant", "wind"]
+    both = rows.withColumn("ring", ring).withColumn("next", F.lead("ring").over(Window.partitionBy(*keys).orderBy("order")))
+    joined = both.where(F.col("next").isNotNull() & apart(F.col("ring"), F.col("next"))).select(*keys, F.array("ring", "next").alias("rings"))
+    return both.select(*keys, "ring").unionByName(hulls(joined, keys))
 
 
 def strongest(points: DataFrame, polygons: DataFrame, size: float) -> DataFrame:

@@ -286,14 +286,14 @@ def usable_tiles_and_hybrid(t: Tables):
 
 
 @query("""
-WITH f AS (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'BH4' WHEN 1 THEN 'BF2H' || (o_custkey % 10) ELSE 'BC3' END || '_' || o_custkey AS tile, 'NOAA_x_Provider_' || (o_custkey % 5) || '_' || o_orderstatus AS folder FROM orders)
+WITH f AS (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'BH4' WHEN 1 THEN 'BF2H' || (o_custkey % 10) ELSE 'BC3' END || '_' || o_custkey AS tile, 'Base_x_Provider_' || (o_custkey % 5) || '_' || o_orderstatus AS folder FROM orders)
 SELECT o_orderkey, CASE WHEN tile LIKE 'BH%' THEN 'nearshore' WHEN NOT regexp_matches(tile, '^BF2H[0-9]') THEN 'offshore' END AS shore, CASE WHEN o_orderkey % 2 = 0 THEN substr(folder, 8) END AS provider,
   CASE WHEN o_orderkey % 4 > 0 THEN (o_orderkey % 10)::INT ELSE 9999 END AS region, CASE WHEN o_orderkey % 6 > 0 THEN '20050101' ELSE '99999999' END AS start, CASE WHEN o_orderkey % 7 > 2 THEN (o_orderkey % 7 - 2)::DOUBLE ELSE 1.0 END AS width FROM f
 """)
 def file_rules(t: Tables):
     k, c = F.col("o_orderkey"), F.col("o_custkey").cast("string")
     tile = F.concat(F.when(k % 3 == 0, "BH4").when(k % 3 == 1, F.concat(F.lit("BF2H"), (F.col("o_custkey") % 10).cast("string"))).otherwise("BC3"), F.lit("_"), c)
-    folder = F.concat(F.lit("NOAA_x_Provider_"), (F.col("o_custkey") % 5).cast("string"), F.lit("_"), F.col("o_orderstatus"))
+    folder = F.concat(F.lit("Base_x_Provider_"), (F.col("o_custkey") % 5).cast("string"), F.lit("_"), F.col("o_orderstatus"))
     region = F.when(k % 4 > 0, F.concat(F.lit("ER_"), (k % 10).cast("string"))).otherwise("ER")
     period = F.when(k % 6 > 0, "TSM_20050101-20050131.nc").otherwise("TSM.nc")
     width = F.when(k % 7 > 0, (k % 7 - 2).cast("double"))

@@ -138,12 +138,18 @@ def test_one_polygon_within_another_touches_it(spark):
     assert len(burnt) == 100 and {r.z for r in burnt} == {5}
 
 
-def test_swaths_are_hulls_of_neighbouring_quarters(spark):
-    fixes = spark.createDataFrame([("a", "ne", 34, 1, 0.0, 0.0, 10.0), ("a", "ne", 34, 2, 50.0, 0.0, 10.0), ("b", "sw", 34, 1, 0.0, 0.0, 10.0), ("b", "sw", 50, 1, 0.0, 0.0, 0.0)], "storm string, quadrant string, wind int, order int, x double, y double, radius double")
-    made = {r.storm: r for r in Y.swaths(fixes).withColumn("area", Y.area(F.col("ring"))).collect()}
+def test_swaths_are_hulls_only_of_quarters_that_lie_apart(spark):
+    rows = [("a", "ne", 34, 1, 0.0, 0.0, 10.0), ("a", "ne", 34, 2, 50.0, 0.0, 10.0), ("b", "sw", 34, 1, 0.0, 0.0, 10.0), ("b", "sw", 50, 1, 0.0, 0.0, 0.0), ("c", "ne", 34, 1, 0.0, 0.0, 10.0), ("c", "ne", 34, 2, 3.0, 2.0, 10.0), ("d", "nw", 34, 1, 0.0, 0.0, 10.0), ("d", "nw", 34, 2, 10.0, 0.0, 10.0)]
+    fixes = spark.createDataFrame(rows, "storm string, quadrant string, wind int, order int, x double, y double, radius double")
+    made = {}
+    for r in Y.swaths(fixes).withColumn("area", Y.area(F.col("ring"))).collect():
+        made.setdefault(r.storm, []).append(r)
     quarter = 4.5 * 100 * math.sin(math.pi / 18)
-    assert set(made) == {"a", "b"} and made["b"].area == pytest.approx(quarter) and made["a"].area == pytest.approx(50 * 10 + quarter)
-    assert {(round(p.x), round(p.y)) for p in made["b"].ring} >= {(0, 0), (-10, 0), (0, -10)}
+    areas = {s: sorted(r.area for r in own) for s, own in made.items()}
+    assert areas["a"] == pytest.approx([quarter, quarter, 50 * 10 + quarter])
+    assert areas["b"] == pytest.approx([quarter]) and areas["c"] == pytest.approx([quarter, quarter])  # c's overlap: their union is no hull
+    assert areas["d"] == pytest.approx([quarter, quarter, 10 * 10 + quarter])  # d's touch at a point
+    assert {(round(p.x), round(p.y)) for p in made["b"][0].ring} >= {(0, 0), (-10, 0), (0, -10)}
 
 
 def test_one_file_and_its_rules(spark):
@@ -155,6 +161,6 @@ def test_one_file_and_its_rules(spark):
 
 
 def test_smoothing_reaches_out(spark):
-    cells = spark.createDataFrame([(5, 5, 3.0), (5, 6, 5.0), (0, 0, None)], "row int, col int, z double")
+    cells = spark.createDataFrame([(5, 5, 3.0), (5, 6, 5.0), (0, 0, None), (8, 8, None)], "row int, col int, z double")
     got = {(r.row, r.col): r.z for r in G.smoothed(cells, 1000.0, 500.0).collect()}
-    assert got[5, 5] == 4.0 and got[3, 3] == 3.0 and (0, 0) not in got and got[7, 8] == 5.0
+    assert got[5, 5] == 4.0 and got[3, 3] == 3.0 and (0, 0) not in got and got[7, 8] == 5.0 and max(got) == (7, 8)
