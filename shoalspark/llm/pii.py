@@ -88,9 +88,38 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda a, x: a + x)
 
 
-def _card(digits: Column, digest: Column) -> Column:
+def _quotient(v: Column, by: Column) -> Column:
+    """v div by of bigints, exactly: by is a power of ten, so its digits are cut off."""
+    return F.coalesce(F.substr(v.cast("string"), F.lit(1), F.length(v.cast("string")) - F.length(by.cast("string")) + 1).try_cast("long"), F.lit(0).cast("long"))
+
+
+def _permuted(kind: Column, kept: Column, digits: Column, key: str) -> Column:
+    """Other digits of the same number: a keyed permutation of all numbers of that length that start alike (kept).
+
+    Two numbers never get one surrogate and none gets itself, however much of the space the corpus uses: an alternating
+    Feistel network over both halves, a step of keyed length round the whole space, and the network backwards. No digits stay.
+    """
+    left = F.ceil(F.length(digits) / 2).cast("int")
+    power = lambda n: F.rpad(F.lit("1"), n + 1, "0").cast("long")
+    a, b = power(left), power(F.length(digits) - left)
+    number = lambda *parts: F.conv(F.substring(_digest(key, F.lit("digits"), kind, kept, F.length(digits).cast("string"), *parts), 1, 15), 16, 10).cast("long")
+
+    def step(acc: Column, i: Column, sign: int) -> Column:
+        even = i % 2 == 0
+        f = number(i.cast("string"), F.when(even, acc["r"]).otherwise(acc["l"]).cast("string")) * sign
+        return F.struct(F.when(even, F.pmod(acc["l"] + f, acc["a"])).otherwise(acc["l"]).alias("l"), F.when(even, acc["r"]).otherwise(F.pmod(acc["r"] + f, acc["b"])).alias("r"), acc["a"].alias("a"), acc["b"].alias("b"))
+
+    rounds = F.array(*map(F.lit, range(4)))
+    halves = F.struct(F.substr(digits, F.lit(1), left).cast("long").alias("l"), F.coalesce(F.substr(digits, left + 1).try_cast("long"), F.lit(0).cast("long")).alias("r"), a.alias("a"), b.alias("b"))
+    there = F.aggregate(rounds, halves, lambda acc, i: step(acc, i, 1), lambda acc: F.pmod(acc["l"] * acc["b"] + acc["r"] + 1 + number(F.lit("shift")) % (acc["a"] * acc["b"] - 1), acc["a"] * acc["b"]))
+    again = F.transform(F.array(there), lambda v: F.struct(_quotient(v, b).alias("l"), F.pmod(v, b).alias("r"), a.alias("a"), b.alias("b")))
+    back = F.aggregate(F.reverse(rounds), F.get(again, F.lit(0)), lambda acc, i: step(acc, i, -1), lambda acc: F.concat(F.lpad(acc["l"].cast("string"), left, "0"), F.when(acc["b"] > 1, F.lpad(acc["r"].cast("string"), F.length(digits) - left, "0")).otherwise("")))
+    return F.when(F.length(digits) == 0, digits).otherwise(back)
+
+
+def _card(kind: Column, digits: Column, key: str) -> Column:
     """Keeps length and the first digit; the Luhn check holds as it does for the value."""
-    stem = F.concat(F.substring(digits, 1, 1), _same_classes(F.substr(digits, F.lit(2), F.length(digits) - 2), digest))
+    stem = F.concat(F.substring(digits, 1, 1), _permuted(kind, F.substring(digits, 1, 1), F.substr(digits, F.lit(2), F.length(digits) - 2), key))
     check = (10 - _luhn(F.concat(stem, F.lit("0"))) % 10) % 10
     return F.concat(stem, check.cast("string"))
 
@@ -117,6 +146,15 @@ def _made_name(digest: Column, attempt: Column, name: Column) -> Column:
     return _by_script(name, *map(made, SYLLABLES))
 
 
+#: Kinds whose surrogates are permutations, so that none need be drawn anew.
+PERMUTED = ("phone", "card", "ssn")
+
+
+def _country(plain: Column) -> Column:
+    """The plus sign and first digit of a plain phone number, if it starts so."""
+    return F.when(plain.startswith("+"), F.substring(plain, 1, 2)).otherwise("")
+
+
 def _core(kind: Column, plain: Column, attempt: Column, key: str) -> Column:
     """The plain surrogate of a plain value."""
     d = _digest(key, kind, plain, attempt)
@@ -130,9 +168,9 @@ def _core(kind: Column, plain: Column, attempt: Column, key: str) -> Column:
         F.when(kind == "name", _made_name(d, attempt, plain))
         .when(kind == "email", email)
         .when(kind == "iban", _iban(plain, d))
-        .when(kind == "phone", F.when(plain.startswith("+"), F.concat(F.substring(plain, 1, 2), _same_classes(F.substr(plain, F.lit(3)), d))).otherwise(_same_classes(plain, d)))
-        .when(kind == "card", _card(plain, d))
-        .when(kind == "ssn", F.concat(F.lit("9"), _same_classes(F.substr(plain, F.lit(2)), d)))
+        .when(kind == "phone", F.concat(_country(plain), _permuted(kind, _country(plain), F.substr(plain, F.length(_country(plain)) + 1), key)))
+        .when(kind == "card", _card(kind, plain, key))
+        .when(kind == "ssn", _permuted(kind, F.lit(""), plain, key))
         .when(kind == "nino", F.concat(F.lit("Q"), _same_classes(F.substr(plain, F.lit(2), F.lit(7)), d), F.char(_byte(d, F.lit(9)) % 4 + 65)))
         .when(kind == "ipv6", F.concat(F.lit("fd"), _hex_digits(F.substr(F.regexp_replace(plain, ":", ""), F.lit(3)), d)))
         .otherwise(ip)
@@ -168,17 +206,46 @@ def _formatted(value: Column, core: Column) -> Column:
     return F.array_join(F.transform(_chars(value), lambda c, i: F.when(c.rlike(r"[0-9A-Za-z+]"), F.substr(core, place(i), F.lit(1))).otherwise(c)), "")
 
 
-def _surrogate(kind: Column, value: Column, key: str, anew: Column) -> Column:
+def _known_name(n: Column, key: str, anew: Column, gender: Column) -> Column:
+    """The surrogate of one name in the name's own case; gender (f, m or null) chooses the ending."""
+    plain = F.lower(n)
+    core = F.coalesce(F.try_element_at(anew, F.concat(F.lit("name:"), plain)), _core(F.lit("name"), plain, F.lit(0), key))
+    ending = lambda at: _by_script(n, *[e[at] for e in ENDINGS.values()])
+    whole = F.concat(core, F.when(gender == "f", ending(0)).when(gender == "m", ending(1)).otherwise(""))
+    return F.when(n == F.upper(n), F.upper(whole)).otherwise(F.initcap(whole))
+
+
+def _gender(title: Column) -> Column:
+    return F.when(title.rlike(FEMALE), "f").when(title.rlike(MALE), "m")
+
+
+def _persons(found: Column) -> Column:
+    """name (lower case) and gender (f, m or null, by the mention's title) of every name of a text's persons."""
+    def names(x: Column) -> Column:
+        title, each = _title_and_names(x["value"])
+        return F.transform(each, lambda n: F.struct(F.lower(n).alias("name"), _gender(title).alias("gender")))
+
+    return F.flatten(F.transform(F.filter(found, lambda x: x["kind"] == "person"), names))
+
+
+def _text_gender(persons: Column, n: Column) -> Column:
+    """The gender of a name in a text: that of the first mention whose title tells."""
+    return F.get(F.filter(persons, lambda p: (p["name"] == F.lower(n)) & p["gender"].isNotNull()), F.lit(0))["gender"]
+
+
+def _other_mentions(gap: Column, persons: Column, key: str, anew: Column) -> Column:
+    """What lies between entities, with every capital word that is a name of the text's persons replaced as that name is."""
+    word = lambda w: w.rlike(r"^\p{Lu}") & F.exists(persons, lambda p: p["name"] == F.lower(w))
+    split = F.regexp_extract_all(gap, F.lit(r"\p{L}++(?:[-’']\p{Lu}\p{L}++)?|[^\p{L}]++"), F.lit(0))
+    return F.array_join(F.transform(split, lambda w: F.when(word(w), _known_name(w, key, anew, _text_gender(persons, w))).otherwise(w)), "")
+
+
+def _surrogate(kind: Column, value: Column, key: str, anew: Column, persons: Column) -> Column:
     """The surrogate of a mention. anew maps kind and plain value, joined by a colon, to cores drawn anew."""
     known = lambda k, p: F.coalesce(F.try_element_at(anew, F.concat(k, F.lit(":"), p)), _core(k, p, F.lit(0), key))
     core = known(kind, _plain(kind, value))
     title, names = _title_and_names(value)
-    ending = lambda n, at: _by_script(n, *[e[at] for e in ENDINGS.values()])
-
-    def name(n: Column) -> Column:
-        whole = F.concat(known(F.lit("name"), F.lower(n)), F.when(title.rlike(FEMALE), ending(n, 0)).when(title.rlike(MALE), ending(n, 1)).otherwise(""))
-        return F.when(n == F.upper(n), F.upper(whole)).otherwise(F.initcap(whole))
-
+    name = lambda n: _known_name(n, key, anew, F.coalesce(_gender(title), _text_gender(persons, n)))
     cased = F.array_join(F.transform(_chars(core), lambda c, i: F.when((i < F.length(core) - 8) & F.substr(value, i + 1, F.lit(1)).rlike("[A-Z]"), F.upper(c)).otherwise(c)), "")
     return (
         F.when(kind == NO_ENTITY, value)
@@ -260,7 +327,9 @@ def pseudonymise(docs: DataFrame, key: str | None = None, rounds: int = 24, coun
     With counts, columns n_<type> (long) come on top of doc_id and text and nothing else is returned. The key comes from
     the configuration if none is given. Values that differ in format alone (case of a mailbox, separators of a number,
     case of a name, a title) have surrogates that differ in format alone, in all texts; other values have different
-    surrogates. Of matches at one place the first type counts. Null and empty texts stay as they are, repeated rows get
+    surrogates. Phones, cards and nine-digit numbers are permuted within all of their length and start, so theirs may be other
+    values of the corpus, which are replaced in turn. Once a text has a person, each capital word of it that is one of the
+    person's names is replaced as well, and takes the gender that a title in the text gives the name. Of matches at one place the first type counts. Null and empty texts stay as they are, repeated rows get
     equal texts, an empty table gives no rows. Columns other than text and n_chars are passed on, whatever their names.
     """
     key = key or surrogate_key(docs.sparkSession)
@@ -269,7 +338,7 @@ def pseudonymise(docs: DataFrame, key: str | None = None, rounds: int = 24, coun
     found = rows.select(_found(text).alias("v")).where(F.size("v") > 0).select(F.explode("v.value").alias("value"))
     entities = found.groupBy("value").agg(F.lit(1).alias("one")).select(_kind(F.col("value")).alias("kind"), "value").where(F.col("kind") != NO_ENTITY)
     plains = entities.select(F.explode(_parts(F.col("kind"), F.col("value"))).alias("p")).groupBy("p.kind", "p.plain").agg(F.lit(1).alias("one")).select("kind", "plain")
-    drawn_anew = _repaired(plains, key, rounds).where("attempt > 0").select(F.concat("kind", F.lit(":"), "plain").alias("drawn"), F.col("core").alias("instead"))
+    drawn_anew = _repaired(plains.where(~F.col("kind").isin(*PERMUTED)), key, rounds).where("attempt > 0").select(F.concat("kind", F.lit(":"), "plain").alias("drawn"), F.col("core").alias("instead"))
 
     marked = rows.select("row", _gaps_and_matches(text).alias("apart"))
     marked = marked.select("row", F.filter("apart", lambda c, i: i % 2 == 0).alias("gaps"), F.transform(F.filter("apart", lambda c, i: i % 2 == 1), _within).alias("v"))
@@ -281,8 +350,9 @@ def pseudonymise(docs: DataFrame, key: str | None = None, rounds: int = 24, coun
         marked = marked.withColumn("text_key", F.sha2(text, 256)).join(if_small(maps), "text_key", "left")
     else:
         marked = marked.withColumn("anew", F.lit(None).cast("map<string,string>"))
-    each = marked.withColumn("s", F.transform("v", lambda x: F.struct(x["before"].alias("before"), x["value"].alias("value"), x["after"].alias("after"), _kind(x["value"]).alias("kind"))))
-    made = each.withColumn("s", F.transform("s", lambda x: F.struct(x["kind"].alias("kind"), F.concat(x["before"], _surrogate(x["kind"], x["value"], key, F.col("anew")), x["after"]).alias("new"))))
+    each = marked.withColumn("s", F.transform("v", lambda x: F.struct(x["before"].alias("before"), x["value"].alias("value"), x["after"].alias("after"), _kind(x["value"]).alias("kind")))).withColumn("persons", _persons(F.col("s")))
+    made = each.withColumn("s", F.transform("s", lambda x: F.struct(x["kind"].alias("kind"), F.concat(x["before"], _surrogate(x["kind"], x["value"], key, F.col("anew"), F.col("persons")), x["after"]).alias("new"))))
+    made = made.withColumn("gaps", F.when(F.size("persons") > 0, F.transform("gaps", lambda g: _other_mentions(g, F.col("persons"), key, F.col("anew")))).otherwise(F.col("gaps")))
     whole = F.when(F.size("s") == 0, text).otherwise(F.array_join(F.zip_with("gaps", F.transform("s", lambda x: x["new"]), lambda g, n: F.concat(F.coalesce(g, F.lit("")), F.coalesce(n, F.lit("")))), ""))
     if counts:
         of = lambda k: F.filter("s", lambda x: x["kind"] == k)
