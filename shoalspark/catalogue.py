@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import coast, fields, layers, raster, relational, risks, scoring, space  # noqa: F401  (they register their queries)
+from .plans import areas, coast, fields, layers, raster, relational, risks, scoring, space  # noqa: F401  (they register their queries)
 from .sqlpair import QUERIES, SQL
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .selection import group_medians
+
 
 def lookup(cells: DataFrame, codes: DataFrame, key: str, order: str, value: str) -> DataFrame:
     """cells with value of their code; of repeated codes the last by order wins, negative and unknown codes give null."""
@@ -42,8 +44,8 @@ def deltas(tall: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def repaired_by_median(rows: DataFrame, group: str, value: str, valid: Column) -> DataFrame:
-    """Invalid values become the median of the group's valid ones; corrected tells where."""
-    medians = rows.where(valid).groupBy(group).agg(F.median(value).alias("m"))
+    """Invalid values become the median of the group's valid ones; corrected tells where. Rows of a null group have no median."""
+    medians = group_medians(rows.where(valid), [group], value).withColumnRenamed("median", "m")
     return rows.join(medians, group, "left").withColumn("corrected", ~valid & F.col("m").isNotNull()).withColumn(value, F.when(valid, F.col(value)).otherwise(F.col("m"))).drop("m")
 
 

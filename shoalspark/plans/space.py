@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import models as M
+from ..operators import selection as Q
 from ..operators import spatial as P
 from ..sqlpair import Tables, query
 
@@ -73,7 +74,8 @@ def band_join_mean(t: Tables):
 
 @query(f"SELECT floor(x / 1000)::INT AS zone, median(y) AS mid, count(*) AS n FROM ({POINTS}) GROUP BY 1")
 def zonal_median(t: Tables):
-    return points(t).groupBy(F.floor(F.col("x") / 1000).cast("int").alias("zone")).agg(F.median("y").alias("mid"), F.count(F.lit(1)).alias("n"))
+    zoned = points(t).select(F.floor(F.col("x") / 1000).cast("int").alias("zone"), "y")
+    return Q.group_medians(zoned, ["zone"], "y").withColumnRenamed("median", "mid").join(zoned.groupBy("zone").agg(F.count(F.lit(1)).alias("n")), "zone")
 
 
 @query(f"SELECT (floor(x / 500) * 500)::DOUBLE AS gx, (floor(y / 500) * 500)::DOUBLE AS gy, count(*) AS n, sum(id % 7)::BIGINT AS weight, round(avg(x), 6) AS mean_x FROM ({POINTS}) GROUP BY 1, 2")
