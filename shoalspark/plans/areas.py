@@ -5,13 +5,14 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import hazards as H
+from ..operators import overlay as O
 from ..operators import polygons as Y
 from ..operators import samples as A
 from ..operators import summarygrid as S
 from ..operators.lineage import cut
 from ..sources import features as W
 from ..sqlpair import Tables, query
-from .coast import BOXES, boxes, triangles
+from .coast import BOXES, MEET, OTHER, boxes, others, triangles
 from .raster import CELLS, cells
 
 _GROUPS = list(H.COUNTED.values())
@@ -65,3 +66,28 @@ def every_tenth_order(t: Tables):
 @query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE ('0x' || substr(md5('42' || chr(1) || l_orderkey || chr(1) || l_linenumber), 1, 8))::BIGINT < 429496729")
 def seeded_sample(t: Tables):
     return A.seeded_sample(t.lineitem, ["l_orderkey", "l_linenumber"], 0.1).select("l_orderkey", "l_linenumber")
+
+
+_LAP = "(least(a.x1, b.x1) - greatest(a.x0, b.x0)) * (least(a.y1, b.y1) - greatest(a.y0, b.y0))"
+
+
+@query(f"WITH a AS ({BOXES}), b AS ({OTHER}) SELECT a_id, b_id, round({_LAP}, 6) AS shared, round((a.x1 - a.x0) * (a.y1 - a.y0) - {_LAP}, 6) AS rest FROM a JOIN b ON {MEET} WHERE {_LAP} > 0 AND (a.x1 - a.x0) * (a.y1 - a.y0) - {_LAP} > 0")
+def overlay_areas(t: Tables):
+    """Area that footprints share, and that the first keeps without the second."""
+    shared = O.overlay(boxes(t), others(t), 200.0).select("a_id", "b_id", F.round("area", 6).alias("shared"))
+    return shared.join(O.overlay(boxes(t), others(t), 200.0, "difference").select("a_id", "b_id", F.round("area", 6).alias("rest")), ["a_id", "b_id"])
+
+
+_WINDS = "SELECT s_nationkey AS storm, s_suppkey % 3 AS wind, (s_suppkey * 61 % 40)::INT AS x, (s_suppkey * 53 % 40)::INT AS y, (s_suppkey * 17 % 12 + 3)::INT AS w, (s_suppkey * 29 % 9 + 2)::INT AS h FROM supplier"
+
+
+@query(f"""
+WITH z AS ({_WINDS}), c AS (SELECT storm, max(wind) AS wind, r.r, q.q FROM z, range(0, 60) r(r), range(0, 60) q(q) WHERE q.q >= x AND q.q < x + w AND r.r >= y AND r.r < y + h GROUP BY storm, r.r, q.q)
+SELECT storm, wind, count(*)::DOUBLE AS area FROM c GROUP BY storm, wind
+""")
+def wind_ring_areas(t: Tables):
+    """Area of each storm's winds without its stronger ones; suppliers stand for polygons of whole coordinates."""
+    k = F.col("s_suppkey")
+    x, y = k * 61 % 40, k * 53 % 40
+    winds = t.supplier.select(F.col("s_nationkey").alias("storm"), (k % 3).alias("wind"), Y.rectangle(x, y, x + k * 17 % 12 + 3, y + k * 29 % 9 + 2).alias("ring"))
+    return O.outer_parts(winds, ["storm"], "wind", 7.0).groupBy("storm", "wind").agg(F.round(F.sum("area"), 6).alias("area"))
