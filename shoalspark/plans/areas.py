@@ -4,6 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..operators import catalogues as C
 from ..operators import hazards as H
 from ..operators import overlay as O
 from ..operators import polygons as Y
@@ -91,3 +92,38 @@ def wind_ring_areas(t: Tables):
     x, y = k * 61 % 40, k * 53 % 40
     winds = t.supplier.select(F.col("s_nationkey").alias("storm"), (k % 3).alias("wind"), Y.rectangle(x, y, x + k * 17 % 12 + 3, y + k * 29 % 9 + 2).alias("ring"))
     return O.outer_parts(winds, ["storm"], "wind", 7.0).groupBy("storm", "wind").agg(F.round(F.sum("area"), 6).alias("area"))
+
+
+_FOLDERS = ["raw", "filled_tifs", "Combined_Lidar", "old/Filled_Lidar", "skip"]
+_NAMES = ["bathy_2004", "BlueTopo_bathy", "BT.survey_end_date", "lidar_mosaic", "combined_mosaic", "sand_mud_mask", "hurr_count_2004_2010", "tsm_mean_2004_2006", "slope_unc", "mask_ER_3", "grain_size"]
+_PATHS = f"SELECT o_orderkey AS id, ['{"', '".join(_FOLDERS)}'][o_orderkey % 5 + 1] || '/' || ['{"', '".join(_NAMES)}'][o_custkey % 11 + 1] || '_BH4' || o_custkey % 7 || ['.tif', '.TIFF', '.xml'][o_orderkey % 3 + 1] AS path FROM orders"
+
+
+@query(f"""
+WITH p AS ({_PATHS}), q AS (SELECT id, path, lower(string_split(path, '/')[-1]) AS name, string_split(lower(path), '/') AS parts, string_split(path, '/')[-1] AS plain FROM p),
+f AS (SELECT *, name LIKE '%.tif' OR name LIKE '%.tiff' AS raster, list_contains(parts, 'filled_lidar') OR list_contains(parts, 'filled_tifs') AS filled, (contains(name, 'bluetopo') OR starts_with(name, 'bt.')) AS base FROM q)
+SELECT id, NOT contains(plain, 'sand_mud_mask') AND NOT list_contains(string_split(path, '/'), 'skip') AS source,
+  raster AND NOT filled AND NOT (contains(name, 'mosaic') AND NOT contains(name, 'combined') AND NOT list_contains(parts, 'combined_lidar')) AND NOT (base AND NOT contains(name, 'survey_end_date')) AS training,
+  raster AND NOT filled AND NOT contains(name, 'unc') AND NOT regexp_matches(name, 'hurr_(count|strength)_[0-9]{{4}}_[0-9]{{4}}') AND NOT (contains(name, 'bathy') AND NOT base) AS prediction,
+  CASE WHEN raster AND regexp_matches(plain, 'ER_[0-9]+') THEN regexp_extract(plain, 'ER_[0-9]+') END AS region
+FROM f
+""")
+def file_catalogue(t: Tables):
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    pick = lambda names, i: F.element_at(F.array(*map(F.lit, names)), (i + 1).cast("int"))
+    paths = t.orders.select(k.alias("id"), F.concat(pick(_FOLDERS, k % 5), F.lit("/"), pick(_NAMES, c % 11), F.lit("_BH4"), (c % 7).cast("string"), pick([".tif", ".TIFF", ".xml"], k % 3)).alias("path"))
+    path = F.col("path")
+    regions = C.mask_catalogue(paths.select("id", "path")).select(F.col("path").alias("p"), "region").distinct()
+    return paths.join(regions, path == F.col("p"), "left").select("id", C.source_file(path, ["skip"]).alias("source"), C.training_file(path).alias("training"), C.table_file(path, True).alias("prediction"), "region")
+
+
+@query(f"""
+WITH c AS (SELECT r % 4 AS layer, r, c, z FROM ({CELLS})), s AS (SELECT layer, layer * 1000.0 - 70 + c * (40 + layer * 25) AS x, 5000.0 + layer * 333 - r * (40 + layer * 25) AS y, (40 + layer * 25)::DOUBLE AS size, z FROM c),
+t AS (SELECT floor(y / 100)::INT + i AS row, floor(x / 100)::INT + j AS col, s.* FROM s, range(-3, 4) a(i), range(-3, 4) b(j))
+SELECT row, col, round(max(z), 6) AS z FROM t WHERE (col + 0.5) * 100 >= x AND (col + 0.5) * 100 < x + size AND (row + 0.5) * 100 >= y - size AND (row + 0.5) * 100 < y GROUP BY ALL
+""")
+def national_mosaic(t: Tables):
+    """Four regions with cells of 40 to 115 m on one grid of 100 m, the largest value where they overlap."""
+    layer = F.col("row") % 4
+    grids = t.spark.range(4).select(F.col("id").cast("int").alias("layer"), (F.col("id") * 1000.0 - 70).alias("x0"), (F.col("id") * 333.0 + 5000).alias("y1"), (F.col("id") * 25.0 + 40).alias("size"))
+    return C.national_mosaic(cells(t).select(layer.alias("layer"), "row", "col", "z"), grids, 100.0).withColumn("z", F.round("z", 6))
