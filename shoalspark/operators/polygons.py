@@ -169,8 +169,12 @@ def hulls(polygons: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def apart(one: Column, other: Column) -> Column:
-    """Whether two convex rings, counter-clockwise, have no inner point in common: a side of one has all of the other beyond it."""
-    beyond = lambda a, b: F.exists(edges(a), lambda e: F.forall(b, lambda p: _side(e["a"], e["b"], p) <= 0))
+    """Whether two convex rings, counter-clockwise, have no inner point in common: a side of one has all of the other beyond it.
+
+    What reaches across a side by less than a billionth of its length only touches.
+    """
+    square = lambda e: (e["b"]["x"] - e["a"]["x"]) * (e["b"]["x"] - e["a"]["x"]) + (e["b"]["y"] - e["a"]["y"]) * (e["b"]["y"] - e["a"]["y"])
+    beyond = lambda a, b: F.exists(edges(a), lambda e: F.forall(b, lambda p: _side(e["a"], e["b"], p) <= square(e) * 1e-9))
     return beyond(one, other) | beyond(other, one)
 
 
