@@ -8,6 +8,7 @@ among the pieces of one length.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 import zlib
@@ -27,6 +28,27 @@ from .common import cut
 MAX_TOKENS, END_ID = 2048, 1
 
 
+#: What a tokenizer file says of itself where texts may be taken apart into words as WordIds does.
+WORDWISE = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "byte_fallback": False, "ignore_merges": False}
+
+
+def wordwise(tokenizer) -> bool:
+    """Whether a tokenizer is of the kind that WordIds takes apart: its settings, its model's, and special tokens that begin with "<|"."""
+    said = json.loads(tokenizer.to_str())
+    marks = all(t["content"].startswith("<|") and not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"]) for t in said["added_tokens"])
+    return marks and all(said[k] == v for k, v in WORDWISE.items()) and all(said["model"].get(k) == v for k, v in MODEL.items()) and not said.get("truncation") and not said.get("padding")
+
+
 class WordIds(dict):
     """word bytes -> its ids as little-endian 32-bit bytes; at most 2 * limit words are held.
 
@@ -34,7 +56,8 @@ class WordIds(dict):
     another, so a text's ids are those of its pieces: lower-case words, with a full stop or comma after a letter and
     before white space as a piece of its own. Texts with a mark of special tokens, whose case counts, keep their case.
     Words that are not held are encoded together, a mark that is a token of its own after each; those of printable ASCII
-    alone need no normalizing, so their pieces go straight to the tokenizer's model.
+    alone need no normalizing, so their pieces go straight to the tokenizer's model. A tokenizer of another kind encodes
+    whole texts.
     """
 
     STOPS = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
@@ -48,7 +71,9 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer, self.limit, self.before = Tokenizer.from_file(path), limit, {}
-        (self.mark,) = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
+        self.whole = not wordwise(self.tokenizer)
+        if not self.whole:
+            (self.mark,) = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
 
     def split(self, text: str) -> list[bytes]:
         raw = text.encode()
@@ -77,6 +102,10 @@ class WordIds(dict):
 
     def of(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
+        if self.whole:
+            self.tokenizer.no_truncation()
+            self.tokenizer.no_padding()
+            return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         split = [self.split(t) for t in texts]
         if len(self) > self.limit:
             self.before = dict(self)

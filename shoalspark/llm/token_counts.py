@@ -6,6 +6,7 @@ the lowest rank of every sequence, and merges it in all sequences at once; what
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -17,6 +18,44 @@ from pyspark.sql import functions as F
 NONE = np.iinfo(np.int64).max
 
 
+def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """Number and value of the fields of a protocol buffer's message: bytes, or a whole number for varints and fixed widths."""
+    at = 0
+
+    def varint() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            b = data[at]
+            at, value, shift = at + 1, value | (b & 127) << shift, shift + 7
+            if b < 128:
+                return value
+
+    while at < len(data):
+        key = varint()
+        if key & 7 == 0:
+            yield key >> 3, varint()
+        elif key & 7 == 2:
+            n = varint()
+            yield key >> 3, data[at : at + n]
+            at += n
+        else:
+            n = 8 if key & 7 == 1 else 4
+            yield key >> 3, int.from_bytes(data[at : at + n], "little")
+            at += n
+
+
+def mergeable(model: bytes) -> bool:
+    """Whether a serialised sentencepiece model merges pairs by rank: BPE with byte fallback, white space before words, no pieces of a user's own."""
+    trainer: dict[int, int | bytes] = {}
+    for number, value in _fields(model):
+        if number == 1 and dict(_fields(value)).get(3, 1) == 4:  # a piece, and its type
+            return False
+        if number == 2:
+            trainer = dict(_fields(value))
+    return trainer.get(3, 1) == 2 and trainer.get(35, 0) == 1 and not trainer.get(24, 0)
+
+
 class PieceMerger:
     """Symbols, pair ranks and normalisation of a sentencepiece BPE model with byte fallback."""
 
@@ -105,12 +144,19 @@ class PieceMerger:
 
 
 class Counter:
-    """Token counts of texts; counts of at most limit short units are held between batches."""
+    """Token counts of texts; counts of at most limit short units are held between batches. Models of another kind than the
+    merger's count whole texts by their library."""
 
     def __init__(self, path: str, limit: int = 200_000):
-        self.merger, self.held, self.limit = PieceMerger(path), {}, limit
+        from sentencepiece import SentencePieceProcessor
+
+        library = SentencePieceProcessor(model_file=path)
+        self.library = None if mergeable(library.serialized_model_proto()) else library
+        self.merger, self.held, self.limit = PieceMerger(path) if self.library is None else None, {}, limit
 
     def count(self, texts: list[str | None]) -> list[int]:
+        if self.library is not None:
+            return [len(self.library.encode(t or "")) for t in texts]
         split = [self.merger.split(t or "") for t in texts]
         missing = list(set().union(*split) - self.held.keys())
         if len(self.held) + len(missing) > self.limit:
@@ -123,11 +169,17 @@ class Counter:
         return counts
 
 
+@functools.lru_cache(maxsize=1)
+def counter_of(path: str) -> Counter:
+    """One for all tasks of a Python worker."""
+    return Counter(path)
+
+
 def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, chunk: int = 256) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit per input row, over whole texts; null is empty and has 0 tokens."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counter = Counter(model_path)
+        counter = counter_of(model_path)
         for batch in batches:
             texts = batch["text"].tolist()
             n = [c for at in range(0, len(texts), chunk) for c in counter.count(texts[at : at + chunk])]
