@@ -16,6 +16,15 @@ def attribute_table(spark: SparkSession, path: str, names: list[str]) -> DataFra
     return rows.select(*[F.get("F", F.lit(i)).cast("string").alias(n) for i, n in enumerate(names)])
 
 
+def band_table(spark: SparkSession, path: str, band: int, names: list[str]) -> DataFrame:
+    """attribute_table() of one band of a raster's auxiliary XML (elements PAMRasterBand with an attribute band)."""
+    cell = "struct<F:array<string>>"
+    schema = f"_band int, GDALRasterAttributeTable struct<Row:array<{cell}>>"
+    bands = spark.read.format("xml").option("rowTag", "PAMRasterBand").schema(schema).load(path).where(F.col("_band") == band)
+    rows = bands.select(F.explode("GDALRasterAttributeTable.Row").alias("r"))
+    return rows.select(*[F.get("r.F", F.lit(i)).alias(n) for i, n in enumerate(names)])
+
+
 def field_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the FieldDefn elements, in order of their index."""
     found = spark.read.format("xml").option("rowTag", "FieldDefn").load(path).orderBy("_index")
