@@ -114,15 +114,19 @@ def intersect_join(left: DataFrame, right: DataFrame, size: float, how: str = "i
     return left.join(pairs.select([F.col(c) for c in pairs.columns if c != "one"]), "a_id", how)
 
 
-def burn(polygons: DataFrame, size: float, rule: str = "replace", all_touched: bool = False, tile: float | None = None) -> DataFrame:
+def burn(polygons: DataFrame, size: float, rule: str = "replace", all_touched: bool = False, tile: int = 256) -> DataFrame:
     """row, col, z: cells of the given size whose centre a polygon (poly_id, ring, value) holds, or that it touches.
 
     Where polygons overlap their values add up (add), or that of the largest poly_id counts (replace). Cells are made
-    from the boxes of the polygons, so a polygon costs as many rows as its box has cells.
+    from the boxes of the polygons, so a polygon costs as many rows as its box has cells; a task makes them a square of tile
+    by tile cells at a time, and the squares of a large polygon are dealt to many tasks.
     """
     boxed = _boxed(polygons.where(F.size("ring") > 0), "b")
-    cell = lambda k: F.explode(F.sequence(F.floor(F.col(f"b{k}0") / size).cast("int"), F.floor(F.col(f"b{k}1") / size).cast("int")))
-    cells = boxed.select("poly_id", "ring", "value", "bx0", "bx1", cell("y").alias("row")).withColumn("col", cell("x"))
+    end = lambda k, i: F.floor(F.col(f"b{k}{i}") / size).cast("int")
+    square = lambda k: F.explode(F.sequence(F.floor(end(k, 0) / tile).cast("int"), F.floor(end(k, 1) / tile).cast("int")))
+    dealt = boxed.withColumn("ty", square("y")).withColumn("tx", square("x")).repartition("poly_id", "ty", "tx")
+    cell = lambda k: F.explode(F.sequence(F.greatest(end(k, 0), F.col(f"t{k}") * tile), F.least(end(k, 1), F.col(f"t{k}") * tile + tile - 1)))
+    cells = dealt.withColumn("row", cell("y")).withColumn("col", cell("x")).select("poly_id", "ring", "value", "row", "col")
     x, y = F.col("col") * size, F.col("row") * size
     hit = touch(F.col("ring"), rectangle(x, y, x + size, y + size)) if all_touched else holds(F.col("ring"), x + size / 2, y + size / 2)
     z = F.sum("value") if rule == "add" else F.max_by("value", "poly_id")
