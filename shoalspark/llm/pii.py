@@ -117,11 +117,15 @@ def _permuted(kind: Column, kept: Column, digits: Column, key: str) -> Column:
     return F.when(F.length(digits) == 0, digits).otherwise(back)
 
 
-def _card(kind: Column, digits: Column, key: str) -> Column:
-    """Keeps length and the first digit; the Luhn check holds as it does for the value."""
-    stem = F.concat(F.substring(digits, 1, 1), _permuted(kind, F.substring(digits, 1, 1), F.substr(digits, F.lit(2), F.length(digits) - 2), key))
-    check = (10 - _luhn(F.concat(stem, F.lit("0"))) % 10) % 10
-    return F.concat(stem, check.cast("string"))
+def _numbers(kind: Column, plain: Column, key: str) -> Column:
+    """Surrogates of phones, cards and nine-digit numbers, in one expression, as plans hold every copy of it.
+
+    A phone keeps its plus sign and first digit, a card its first digit and a check digit that is right as the value's is.
+    """
+    kept = F.when(kind == "phone", _country(plain)).when(kind == "card", F.substring(plain, 1, 1)).otherwise("")
+    digits = F.when(kind == "card", F.substr(plain, F.lit(2), F.length(plain) - 2)).otherwise(F.substr(plain, F.length(kept) + 1))
+    whole = F.get(F.transform(F.array(F.concat(kept, _permuted(kind, kept, digits, key))), lambda v: F.when(kind == "card", F.concat(v, ((10 - _luhn(F.concat(v, F.lit("0"))) % 10) % 10).cast("string"))).otherwise(v)), F.lit(0))
+    return whole
 
 
 def _iban(value: Column, digest: Column) -> Column:
@@ -155,8 +159,8 @@ def _country(plain: Column) -> Column:
     return F.when(plain.startswith("+"), F.substring(plain, 1, 2)).otherwise("")
 
 
-def _core(kind: Column, plain: Column, attempt: Column, key: str) -> Column:
-    """The plain surrogate of a plain value."""
+def _core(kind: Column, plain: Column, attempt: Column, key: str, numbers: bool = True) -> Column:
+    """The plain surrogate of a plain value; without numbers, of values of other kinds than PERMUTED alone."""
     d = _digest(key, kind, plain, attempt)
     local, domain = F.substring_index(plain, "@", 1), F.substring_index(plain, "@", -1)
     stem = F.regexp_replace(domain, r"\.[a-z]+$", "")
@@ -164,17 +168,15 @@ def _core(kind: Column, plain: Column, attempt: Column, key: str) -> Column:
     # All mailboxes of a domain go to one domain.
     email = F.concat(_same_classes(local, d), wider, F.lit("@"), _same_classes(stem, _digest(key, F.lit("domain"), domain)), F.lit(".example"))
     ip = F.concat_ws(".", (_byte(d, F.lit(0)) % 16 + 240).cast("string"), *[_byte(d, F.lit(i)).cast("string") for i in (1, 2, 3)])
-    return (
+    drawn = (
         F.when(kind == "name", _made_name(d, attempt, plain))
         .when(kind == "email", email)
         .when(kind == "iban", _iban(plain, d))
-        .when(kind == "phone", F.concat(_country(plain), _permuted(kind, _country(plain), F.substr(plain, F.length(_country(plain)) + 1), key)))
-        .when(kind == "card", _card(kind, plain, key))
-        .when(kind == "ssn", _permuted(kind, F.lit(""), plain, key))
         .when(kind == "nino", F.concat(F.lit("Q"), _same_classes(F.substr(plain, F.lit(2), F.lit(7)), d), F.char(_byte(d, F.lit(9)) % 4 + 65)))
         .when(kind == "ipv6", F.concat(F.lit("fd"), _hex_digits(F.substr(F.regexp_replace(plain, ":", ""), F.lit(3)), d)))
         .otherwise(ip)
     )
+    return F.when(kind.isin(*PERMUTED), _numbers(kind, plain, key)).otherwise(drawn) if numbers else drawn
 
 
 def _plain(kind: Column, value: Column) -> Column:
@@ -209,7 +211,7 @@ def _formatted(value: Column, core: Column) -> Column:
 def _known_name(n: Column, key: str, anew: Column, gender: Column) -> Column:
     """The surrogate of one name in the name's own case; gender (f, m or null) chooses the ending."""
     plain = F.lower(n)
-    core = F.coalesce(F.try_element_at(anew, F.concat(F.lit("name:"), plain)), _core(F.lit("name"), plain, F.lit(0), key))
+    core = F.coalesce(F.try_element_at(anew, F.concat(F.lit("name:"), plain)), _made_name(_digest(key, F.lit("name"), plain, F.lit(0)), F.lit(0), plain))
     ending = lambda at: _by_script(n, *[e[at] for e in ENDINGS.values()])
     whole = F.concat(core, F.when(gender == "f", ending(0)).when(gender == "m", ending(1)).otherwise(""))
     return F.when(n == F.upper(n), F.upper(whole)).otherwise(F.initcap(whole))
@@ -298,7 +300,7 @@ def _gaps_and_matches(text: Column) -> Column:
 
 def _repaired(plains: DataFrame, key: str, rounds: int) -> DataFrame:
     """kind, plain, core over distinct plain values, no core twice and none equal to a plain value of the corpus."""
-    drawn_for = lambda df: cut(df.withColumn("core", _core(F.col("kind"), F.col("plain"), F.col("attempt"), key)))
+    drawn_for = lambda df: cut(df.withColumn("core", _core(F.col("kind"), F.col("plain"), F.col("attempt"), key, numbers=False)))
     at = drawn_for(plains.withColumn("attempt", F.lit(0)))
     for _ in range(rounds):
         # A core belongs to the corpus's own value if there is one, else to the smallest value that drew it.
