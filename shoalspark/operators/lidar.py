@@ -13,9 +13,10 @@ def name_parts(name: Column) -> dict[str, Column]:
     found = lambda p: F.nullif(F.regexp_extract(name, p, 1), F.lit(""))
     year, ident = found(r"_((?:18|19|20)\d{2})[_.]"), found(r"(?i)_(\d+)_resampled\.tif$")
     stem = F.regexp_replace(name, r"(?i)_resampled\.tif$", "")
-    plain = F.coalesce(F.replace(stem, F.concat(F.lit("_"), year), F.lit("")), stem)
+    # The id goes first: its own digits may begin like the year.
     tail = F.concat(F.lit("_"), ident)
-    plain = F.when(plain.endswith(tail), F.substr(plain, F.lit(1), F.length(plain) - F.length(tail))).otherwise(plain)
+    plain = F.when(stem.endswith(tail), F.substr(stem, F.lit(1), F.length(stem) - F.length(tail))).otherwise(stem)
+    plain = F.coalesce(F.replace(plain, F.concat(F.lit("_"), year), F.lit("")), plain)
     corps = F.upper(stem).contains("USACE") & F.upper(stem).contains("NCMP")
     return {"year": year, "id": ident, "dataset": F.when(corps, "USACE").otherwise(F.substring_index(plain, "_", -1))}
 
