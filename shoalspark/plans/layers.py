@@ -151,7 +151,8 @@ WITH n AS (SELECT p_partkey, p_partkey::BIGINT * 7919 AS v FROM part)
 SELECT p_partkey, string_agg(substr('BCDFGHJKLMNPQRST', (v // pow(16, k)::BIGINT % 16)::INT + 1, 1), '' ORDER BY k DESC) AS tile FROM n, range(0, 8) AS r(k) GROUP BY p_partkey
 """)
 def tile_names(t: Tables):
-    return t.part.select("p_partkey", X.in_base(F.col("p_partkey") * 7919, "BCDFGHJKLMNPQRST", 8).alias("tile"))
+    last_digits = F.col("p_partkey") * 7919 % 16**8
+    return t.part.select("p_partkey", X.in_base(last_digits, "BCDFGHJKLMNPQRST", 8).alias("tile"))
 
 
 @query("""
