@@ -61,7 +61,10 @@ def folder_years(folders: DataFrame) -> DataFrame:
 
 def time_frames(xml: Column, otherwise: Column) -> Column:
     """The time-frames of a metadata document as structs of description, start and end; the description is otherwise where it has none."""
-    of = lambda frame, field: F.nullif(F.xpath_string(frame, F.lit(f"/time-frame/{field}")), F.lit(""))
+    # Fields without attributes, entities or fields of their own need no parser; it takes most of the time.
+    flat = r"^<time-frame>\s*(?:<([\w-]+)>[^<>&\r]*</\1>\s*)*</time-frame>$"
+    plain = lambda frame, field: F.regexp_extract(frame, f"<{field}>([^<>&]*)</{field}>", 1)
+    of = lambda frame, field: F.nullif(F.when(frame.rlike(flat), plain(frame, field)).otherwise(F.xpath_string(frame, F.lit(f"/time-frame/{field}"))), F.lit(""))
     frames = F.regexp_extract_all(xml, F.lit(r"(?s)<time-frame(?=[\s>]).*?</time-frame>"), F.lit(0))
     return F.transform(frames, lambda f: F.struct(F.coalesce(of(f, "description"), otherwise).alias("description"), of(f, "start-date-time").alias("start"), of(f, "end-date-time").alias("end")))
 
