@@ -131,11 +131,19 @@ def inner_point(parts: Column) -> Column:
     """
     from ..operators.polygons import edges
 
-    heights = F.array_sort(F.array_distinct(F.transform(F.flatten(parts), lambda p: p["y"])))
-    half = F.floor(F.size(heights) / 2).cast("int")
-    y = (F.get(heights, half - 1) + F.get(heights, half)) / 2
-    sides = F.flatten(F.transform(parts, edges))
-    crossed = F.filter(sides, lambda e: (e["a"]["y"] > y) != (e["b"]["y"] > y))
-    xs = F.array_sort(F.transform(crossed, lambda e: e["a"]["x"] + (e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) / (e["b"]["y"] - e["a"]["y"])))
-    runs = F.transform(F.filter(xs, lambda _, i: i % 2 == 0), lambda x, i: F.struct((F.get(xs, 2 * i + 1) - x).alias("length"), ((F.get(xs, 2 * i + 1) + x) / 2).alias("x")))
-    return F.when(F.size(heights) > 1, F.struct(F.array_max(runs)["x"].alias("x"), y.alias("y")))
+    # Each step's result is bound once: a lambda that names an expression would work it out anew for every side.
+    bound = lambda value, then: F.get(F.transform(F.array(value), then), F.lit(0))
+
+    def at(sides: Column, y: Column) -> Column:
+        crossed = F.filter(sides, lambda e: (e["a"]["y"] > y) != (e["b"]["y"] > y))
+        places = F.array_sort(F.transform(crossed, lambda e: e["a"]["x"] + (e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) / (e["b"]["y"] - e["a"]["y"])))
+        runs = lambda xs: F.transform(F.filter(xs, lambda _, i: i % 2 == 0), lambda x, i: F.struct((F.get(xs, 2 * i + 1) - x).alias("length"), ((F.get(xs, 2 * i + 1) + x) / 2).alias("x")))
+        return F.struct(bound(places, lambda xs: F.array_max(runs(xs)))["x"].alias("x"), y.alias("y"))
+
+    def across(heights: Column) -> Column:
+        half = F.floor(F.size(heights) / 2).cast("int")
+        y = (F.get(heights, half - 1) + F.get(heights, half)) / 2
+        both = F.struct(y.alias("y"), F.flatten(F.transform(parts, edges)).alias("sides"))
+        return F.when(F.size(heights) > 1, bound(both, lambda b: at(b["sides"], b["y"])))
+
+    return bound(F.array_sort(F.array_distinct(F.transform(F.flatten(parts), lambda p: p["y"]))), across)
