@@ -52,7 +52,7 @@ class Tree:
         return at
 
 
-def _nearest(q: np.ndarray, q_id: np.ndarray, p: np.ndarray, p_id: np.ndarray, k: int, others: bool, step: int = 1 << 21) -> pd.DataFrame:
+def _nearest(q: np.ndarray, q_id: np.ndarray, p: np.ndarray, p_id: np.ndarray, k: int, others: bool, step: int = 1 << 21, root: bool = False) -> pd.DataFrame:
     """The k nearest points of each query, by distance and then by id, never the query's own id if others."""
     order = np.argsort(p_id, kind="stable")
     p, p_id = p[order], p_id[order]
@@ -63,6 +63,8 @@ def _nearest(q: np.ndarray, q_id: np.ndarray, p: np.ndarray, p_id: np.ndarray, k
         d2 = np.zeros((len(part), len(p)))
         for f in range(q.shape[1]):
             d2 += (part[:, f, None] - p[None, :, f]) ** 2
+        if root:
+            d2 = np.sqrt(d2)
         if others:
             d2[q_id[at : at + rows, None] == p_id[None, :]] = np.inf
         if len(p) > k:
@@ -81,10 +83,10 @@ def _nearest(q: np.ndarray, q_id: np.ndarray, p: np.ndarray, p_id: np.ndarray, k
     return pd.concat(made) if made else pd.DataFrame({"q": [], "p": [], "d2": []})
 
 
-def nearest_rows(queries: DataFrame, points: DataFrame, k: int, by: list[str], features: list[str], others: bool = True, leaf_rows: int = 4096) -> DataFrame:
+def nearest_rows(queries: DataFrame, points: DataFrame, k: int, by: list[str], features: list[str], others: bool = True, leaf_rows: int = 4096, root: bool = False) -> DataFrame:
     """by, q_id, p_id, d and n (from 1): the k nearest points (p_id) of each query (q_id) of the same group.
 
-    Equal distances go by p_id; with others a query never finds its own id. Rows with a null id, group or feature are left
+    Equal distances go by p_id (equal squares, or with root equal square roots, which may round alike); with others a query never finds its own id. Rows with a null id, group or feature are left
     out, and ids are whole numbers, unique in their table. A query whose group has fewer points finds those.
     """
     key = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in by]) if by else F.lit("")
@@ -124,7 +126,7 @@ def nearest_rows(queries: DataFrame, points: DataFrame, k: int, by: list[str], f
             if one.empty or own.empty:
                 return pd.DataFrame({"g": np.empty(0, object), "q_id": [], "p_id": [], "d2": []})
             ids = one["q_id"].to_numpy()
-            found = _nearest(np.stack(one["f"].to_numpy()), ids, np.stack(own["f"].to_numpy()), own["p_id"].to_numpy(), k, others)
+            found = _nearest(np.stack(one["f"].to_numpy()), ids, np.stack(own["f"].to_numpy()), own["p_id"].to_numpy(), k, others, root=root)
             return pd.DataFrame({"g": np.full(len(found), str(one["g"].iloc[0]), object), "q_id": ids[found["q"].to_numpy(int)], "p_id": found["p"].to_numpy(np.int64), "d2": found["d2"].to_numpy()})
 
         # Queries of one leaf are dealt out too, so that a leaf that many ask does not wait for one task.
@@ -144,11 +146,11 @@ def nearest_rows(queries: DataFrame, points: DataFrame, k: int, by: list[str], f
     gap = sum((away(i) * away(i) for i in range(1, width)), away(0) * away(0))
     # Only groups of several leaves have more to ask; there are rows / leaf_rows leaves at most.
     many = cut(boxes.withColumn("leaves", F.count(F.lit(1)).over(Window.partitionBy("g"))).where("leaves > 1").drop("rows", "leaves"))
-    further = asking.join(F.broadcast(many) if many.count() <= 100_000 else many, "g").where((F.col("leaf") != F.col("own")) & (F.col("bound").isNull() | (gap <= F.col("bound"))))
+    further = asking.join(F.broadcast(many) if many.count() <= 100_000 else many, "g").where((F.col("leaf") != F.col("own")) & (F.col("bound").isNull() | ((F.sqrt(gap) if root else gap) <= F.col("bound"))))
     every = first.drop("n").unionByName(asked(further.select("g", "leaf", "q_id", "f")))
     ranked = every.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k)
     named = queries.dropna(subset=["q_id", *by]).select(*by, F.col("q_id").cast("long").alias("q_id"), key.alias("_g"))
-    inner = ranked.select(F.col("g").alias("_of"), F.col("q_id").alias("_q"), "p_id", F.sqrt("d2").alias("d"), F.col("n").cast("int").alias("n"))
+    inner = ranked.select(F.col("g").alias("_of"), F.col("q_id").alias("_q"), "p_id", (F.col("d2") if root else F.sqrt("d2")).alias("d"), F.col("n").cast("int").alias("n"))
     return named.join(inner, (F.col("_g") == F.col("_of")) & (F.col("q_id") == F.col("_q"))).select(*by, "q_id", "p_id", "d", "n")
 
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoalspark.operators import kernels as K
+from shoalspark.operators import lidar as L
 from shoalspark.operators import polygons as Y
 from shoalspark.operators import spatial as P
 
@@ -45,3 +46,24 @@ def test_near_points_of_crowded_places(spark):
         allowed = np.where((d2 <= 9) & ~(others & np.eye(len(x), dtype=bool)), d2, np.inf)
         wanted = {int(i): None if np.isinf(row.min()) else int(ids[row == row.min()].min()) for i, row in zip(ids, allowed, strict=True)}
         assert {r.a_id: r.b_id for r in P.nearest(table, table.withColumnRenamed("a_id", "b_id"), 3.0, others, block_rows=100).collect()} == wanted
+
+
+def test_band_means_of_equal_and_many_places(spark):
+    rng = np.random.default_rng(8)
+    targets, curve = rng.integers(-40, 90, 80) / 4, [(float(x) / 4, None if k % 9 == 0 else float(k)) for k, x in enumerate(rng.integers(-40, 90, 200))]
+    t = spark.createDataFrame([(i, float(x)) for i, x in enumerate([*targets, 1e6])], "t_id int, x double")
+    wanted = {}
+    for i, x in enumerate(targets):
+        near = [v for c, v in curve if abs(x - c) <= 2.0]
+        known = [v for v in near if v is not None]
+        if near:
+            wanted[i] = (sum(known) / len(known) if known else None, len(near))
+    got = {r.t_id: (r["mean"], r["n"]) for r in P.band_mean(t, spark.createDataFrame(curve, "x double, value double"), 2.0, block_rows=10).collect()}
+    assert got == {i: (m if m is None else pytest.approx(m), n) for i, (m, n) in wanted.items()}
+
+
+def test_time_frames_with_and_without_a_parser(spark):
+    body = "<description>a{0}</description><start-date-time> 2001 </start-date-time>"
+    docs = [f"<x><time-frame>{body.format('')}</time-frame></x>", f"<x><time-frame id='1'>{body.format(' &amp; b')}</time-frame></x>", "<x><time-frame><more><description>c</description></more></time-frame></x>", "<x><time-frame></time-frame></x>"]
+    got = spark.createDataFrame([(d,) for d in docs], "x string").select(L.time_frames(F.col("x"), F.lit("none")).alias("t")).collect()
+    assert [tuple(r.t[0]) for r in got] == [("a", " 2001 ", None), ("a & b", " 2001 ", None), ("none", None, None), ("none", None, None)]
