@@ -75,8 +75,8 @@ _LAP = "(least(a.x1, b.x1) - greatest(a.x0, b.x0)) * (least(a.y1, b.y1) - greate
 @query(f"WITH a AS ({BOXES}), b AS ({OTHER}) SELECT a_id, b_id, round({_LAP}, 6) AS shared, round((a.x1 - a.x0) * (a.y1 - a.y0) - {_LAP}, 6) AS rest FROM a JOIN b ON {MEET} WHERE {_LAP} > 0 AND (a.x1 - a.x0) * (a.y1 - a.y0) - {_LAP} > 0")
 def overlay_areas(t: Tables):
     """Area that footprints share, and that the first keeps without the second."""
-    shared = O.overlay(boxes(t), others(t), 200.0).select("a_id", "b_id", F.round("area", 6).alias("shared"))
-    return shared.join(O.overlay(boxes(t), others(t), 200.0, "difference").select("a_id", "b_id", F.round("area", 6).alias("rest")), ["a_id", "b_id"])
+    found = O.shared_areas(boxes(t), others(t), 200.0).where("shared > 0 and rest > 0")
+    return found.select("a_id", "b_id", F.round("shared", 6).alias("shared"), F.round("rest", 6).alias("rest"))
 
 
 _WINDS = "SELECT s_nationkey AS storm, s_suppkey % 3 AS wind, (s_suppkey * 61 % 40)::INT AS x, (s_suppkey * 53 % 40)::INT AS y, (s_suppkey * 17 % 12 + 3)::INT AS w, (s_suppkey * 29 % 9 + 2)::INT AS h FROM supplier"

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shoalspark.operators import kernels as K
 from shoalspark.operators import lidar as L
+from shoalspark.operators import overlay as O
 from shoalspark.operators import polygons as Y
 from shoalspark.operators import spatial as P
 
@@ -67,3 +68,18 @@ def test_time_frames_with_and_without_a_parser(spark):
     docs = [f"<x><time-frame>{body.format('')}</time-frame></x>", f"<x><time-frame id='1'>{body.format(' &amp; b')}</time-frame></x>", "<x><time-frame><more><description>c</description></more></time-frame></x>", "<x><time-frame></time-frame></x>"]
     got = spark.createDataFrame([(d,) for d in docs], "x string").select(L.time_frames(F.col("x"), F.lit("none")).alias("t")).collect()
     assert [tuple(r.t[0]) for r in got] == [("a", " 2001 ", None), ("a & b", " 2001 ", None), ("none", None, None), ("none", None, None)]
+
+
+def test_shared_areas_are_those_of_the_overlay(spark):
+    rng = np.random.default_rng(4)
+    star = lambda n: [(5 + r * np.cos(t), 5 + r * np.sin(t)) for r, t in zip(rng.uniform(1, 6, n), np.sort(rng.uniform(0, 6.28, n)), strict=True)]
+    box = [(1, 1), (6, 1), (6, 4), (1, 4)]
+    some, more = [star(n) for n in (3, 5, 9)] + [box], [star(n) for n in (4, 7)] + [box]
+    a, b = _rows(spark, some, "a_id"), _rows(spark, more, "b_id")
+    got = {(r.a_id, r.b_id): (r.shared, r.rest) for r in O.shared_areas(a, b, 4.0, block_rows=2).collect()}
+    arrays = lambda rings: [np.array(r, float) for r in rings]
+    for i, p in enumerate(arrays(some)):
+        for j, q in enumerate(arrays(more)):
+            both, rest = (O.area(O.pieces([p], [q], rule)) for rule in ("intersection", "difference"))
+            assert got.get((i, j), (0.0, rest)) == (pytest.approx(both, abs=1e-9), pytest.approx(rest, abs=1e-9))
+    assert got[3, 2] == (15.0, 0.0)
