@@ -117,6 +117,32 @@ def test_trees_of_all_tiles_equal_a_plain_grower(spark):
     assert checks["hot"]["rmse"] < 3
 
 
+def test_rows_lie_in_few_blocks_and_share_cells(spark):
+    df = spark.range(0, 60_000, 1, 3).selectExpr("concat('t', id % 50) AS tile", "IF(id = 7, NULL, id) AS id", "CAST(id % 5 AS DOUBLE) AS a", "CAST(id % 3 AS DOUBLE) AS b", "CAST(id AS DOUBLE) AS y", "CAST(id % 2 AS INT) AS fold")
+    packed = B._packed(B.binned_rows(df, "tile", "id", ["a", "b"], "y", "fold", 8)[0], 2)
+    blocks = list(B._blocks([packed.toPandas()]))
+    assert len(blocks) == 3 and sum(len(b.y) for b in blocks) == 60_000
+    for b in blocks:
+        assert len(b.code) == 50 * 3  # a tile has one value of a
+        for k in range(0, len(b.y), 997):
+            y = int(b.y[k])
+            assert b.names[b.tiles[k]] == f"t{y % 50}" and b.id[k] == (B.NO_ID if y == 7 else y) and b.fold[k] == y % 2
+            assert b.bins[:, b.cell[k]].tolist() == [7, y % 3 * 4 - (y % 3 == 2)]  # one value is in the last bin
+    part = blocks[0].part({"t3", "t44"})
+    assert set(part.names) == {"t3", "t44"} and len(part.code) == 6 and all(part.names[t] == f"t{int(y) % 50}" for t, y in zip(part.tiles, part.y, strict=True))
+
+
+def test_pending_trees_count_as_written_ones(spark, monkeypatch):
+    how = B.Growth(depth=2, rate=0.4, gamma=4.0, rounds=1, default_rounds=3, bins=8)
+    kept = [(r[0], None if r[1] == 21 else r[1], *r[2:6], -1) for r in rows()]
+    df = spark.createDataFrame(kept, "tile string, id long, a double, b double, c double, y double, fold int")
+    found = []
+    for turns in (2, 8):
+        monkeypatch.setattr(B, "HELD_TURNS", turns)
+        found.append(sorted(((r.tile, r.actual, r.id, round(r["mean"], 6), round(r.sd, 6)) for r in B.trained(df, "tile", "id", FEATURES, "y", "fold", refits=2, how=how)[2].collect()), key=str))
+    assert found[0] == found[1] and sum(r[2] is None for r in found[0]) == 1
+
+
 def test_empty_rows_give_empty_tables(spark):
     df = spark.createDataFrame([], "tile string, id long, a double, b double, c double, y double, fold int")
     assert [t.count() for t in B.trained(df, "tile", "id", FEATURES, "y", "fold", refits=2)] == [0, 0, 0, 0]
