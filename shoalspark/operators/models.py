@@ -43,6 +43,12 @@ def binned(rows: DataFrame, by: str, value: str, target: str, bins: int) -> Data
     return placed.groupBy(by, "bin").agg(F.avg(target).alias("mean"), F.min(target).alias("least"), F.max(target).alias("largest"))
 
 
+def dealt(rows: DataFrame, task_rows: int = 1 << 20) -> DataFrame:
+    """rows in tasks of about task_rows at most: what a fit holds and reads again in each round is that of one task."""
+    tasks = -(-rows.count() // task_rows)
+    return rows.repartition(tasks) if rows.rdd.getNumPartitions() < tasks else rows
+
+
 def boosted(rows: DataFrame, features: list[str], target: str, rounds: int = 20, depth: int = 4, rate: float = 0.1, seed: int = 1):
     """A gradient-boosted tree pipeline fitted on the rows without nulls."""
     from pyspark.ml import Pipeline
@@ -50,7 +56,7 @@ def boosted(rows: DataFrame, features: list[str], target: str, rounds: int = 20,
     from pyspark.ml.regression import GBTRegressor
 
     trees = GBTRegressor(featuresCol="features", labelCol=target, maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=0.7, seed=seed)
-    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), trees]).fit(rows.dropna(subset=[*features, target]))
+    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), trees]).fit(dealt(rows.dropna(subset=[*features, target]).select(*features, target)))
 
 
 def partial_dependence(model, rows: DataFrame, features: list[str], feature: str, points: int = 20) -> DataFrame:

@@ -90,6 +90,13 @@ def test_trees_beat_the_mean_and_features_are_chosen(spark):
     assert M.selected_features(rows, ["a", "b"], "y", rounds=2)["a"] == "Confirmed"
 
 
+def test_rows_of_a_fit_are_dealt_to_more_tasks_as_they_grow(spark):
+    rows = spark.range(0, 1000, 1, 2)
+    parts = M.dealt(rows, 100).rdd.glom().map(len).collect()
+    assert len(parts) == 10 and sum(parts) == 1000 and max(parts) <= 150
+    assert M.dealt(rows, 500).rdd.getNumPartitions() == 2 and M.dealt(rows.limit(0)).count() == 0
+
+
 def test_stream_of_new_cells(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     for k in (1, 2):
