@@ -50,6 +50,15 @@ def split(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+def as_text(words: list[bytes]) -> list[str]:
+    """Words as strings, turned in one go, as none holds a line end."""
+    return b"\n".join(words).decode().split("\n") if words else []
+
+
+def as_bytes(words: list[str]) -> list[bytes]:
+    return "\n".join(words).encode().split(b"\n") if len(words) else []
+
+
 class Code:
     """The decisions of each byte: nodes of a Huffman tree and the sides taken."""
 
@@ -317,9 +326,11 @@ def vocabulary(docs: DataFrame, held: int = 600_000) -> DataFrame:
             for text in batch["text"]:
                 own.update(split(text))
                 if len(own) > held:
-                    yield pd.DataFrame([(w.decode(), n) for w, n in own.items()], columns=["word", "c"])
+                    yield pd.DataFrame({"word": as_text(list(own)), "c": list(own.values())})
                     own.clear()
-        yield pd.DataFrame([(w.decode(), n) for w, n in own.items() if n], columns=["word", "c"])
+        if not own[b""]:  # no row since the last flush
+            del own[b""]
+        yield pd.DataFrame({"word": as_text(list(own)), "c": list(own.values())}, columns=["word", "c"])
 
     return docs.select("text").mapInPandas(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -331,7 +342,7 @@ def train(vocab: DataFrame, distinct: int, batch_words: int = 500, words_a_task:
     def bytes_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(256)
         for batch in batches:
-            words = [w.encode() for w in batch["word"]]
+            words = as_bytes(batch["word"].tolist())
             lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
             counts += np.bincount(np.frombuffer(b" ".join(words) + b" " if words else b"", np.uint8), np.repeat(batch["c"].to_numpy(float), lengths), 256)
         yield pd.DataFrame({"b": np.arange(256, dtype=np.int32), "n": counts})
@@ -352,7 +363,7 @@ def train(vocab: DataFrame, distinct: int, batch_words: int = 500, words_a_task:
             return pd.DataFrame({"key": key, "no": np.bincount(where, n * ~side, len(key)), "yes": np.bincount(where, n * side, len(key))})
 
         for batch in batches:
-            words, times = [w.encode() for w in batch["word"]], batch["c"].to_numpy(float)
+            words, times = as_bytes(batch["word"].tolist()), batch["c"].to_numpy(float)
             for at in range(0, len(words), 2_000):
                 d = tables.decisions(words[at : at + 2_000])
                 n = np.repeat(times[at : at + 2_000], np.diff(np.append(0, d.ends)))
@@ -392,7 +403,7 @@ def train(vocab: DataFrame, distinct: int, batch_words: int = 500, words_a_task:
     def learnt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m, weights, seen = sent.value[0], new_weights(), 0
         for batch in batches:
-            words, times = [w.encode() for w in batch["word"]], batch["c"].to_numpy(float)
+            words, times = as_bytes(batch["word"].tolist()), batch["c"].to_numpy(float)
             for at in range(0, len(words), batch_words):
                 learn(m, words[at : at + batch_words], times[at : at + batch_words], weights)
             seen += len(words)
@@ -450,7 +461,7 @@ def score_documents(docs: DataFrame, common_words: int = 1 << 17, chunk: int = 1
                 c = held.counts[ids]
                 # Words without a count at hand, once for each text: the first place of each and how often it occurs.
                 key, place, n = np.unique((np.repeat(np.arange(len(texts)), sizes)[c == 0] << 32) | ids[c == 0], return_index=True, return_counts=True)
-                rare, n, cuts = [words[i].decode() for i in np.flatnonzero(c == 0)[place].tolist()], n.tolist(), np.searchsorted(key, np.arange(len(texts) + 1) << 32).tolist()
+                rare, n, cuts = as_text([words[i] for i in np.flatnonzero(c == 0)[place].tolist()]), n.tolist(), np.searchsorted(key, np.arange(len(texts) + 1) << 32).tolist()
                 yield pd.DataFrame({
                     "row": batch["row"].to_numpy(), "doc_id": batch["doc_id"].to_numpy(), "held_out": batch["held_out"].to_numpy(), "n_tokens": sizes, "n_known": np.add.reduceat((c > 0).astype(np.int64), first),
                     "base": np.add.reduceat(np.where(c > 0, np.log10((c + 0.5) / below), 0), first), "rest": [rare[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], "times": [n[a:b] for a, b in zip(cuts, cuts[1:], strict=False)],

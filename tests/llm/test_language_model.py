@@ -90,6 +90,11 @@ def test_words_of_a_start_sum_to_its_probability(spark):
         assert np.allclose(np.sum(each, 0), 1, atol=1e-4), start
 
 
+def test_words_turn_to_text_and_back_in_one_go():
+    for words in ([], [b""], [b"", b"a", "ünder".encode(), b""], [b"x\x1cy", "\u2028\x85".encode()]):
+        assert L.as_text(words) == [w.decode() for w in words] and L.as_bytes(L.as_text(words)) == words
+
+
 def test_trust_is_the_product_of_weighted_words():
     logs = np.log(np.random.default_rng(1).uniform(0.01, 0.9, (12, len(L.WAYS))))
     trust, total = np.full(len(L.WAYS), 1 / len(L.WAYS)), 0.0
