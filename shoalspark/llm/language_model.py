@@ -330,7 +330,8 @@ def vocabulary(docs: DataFrame, held: int = 600_000) -> DataFrame:
                     own.clear()
         if not own[b""]:  # no row since the last flush
             del own[b""]
-        yield pd.DataFrame({"word": as_text(list(own)), "c": list(own.values())}, columns=["word", "c"])
+        if own:
+            yield pd.DataFrame({"word": as_text(list(own)), "c": list(own.values())})
 
     return docs.select("text").mapInPandas(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
