@@ -26,6 +26,8 @@ _TABLE = bytes.maketrans((UPPER + BREAKS + BLANKS).encode(), (UPPER.lower() + ".
 MOST_WORDS = 4
 #: Numbers in one array, about, and keys made at once; a text is never parted.
 IDS = 1 << 18
+#: Rows that a task gives to Spark at once.
+SENT = 1 << 17
 #: Numbers fill 31 bits, so that bigints sort as their bits do.
 LAST_NUMBER = (1 << 31) - 1
 
@@ -177,6 +179,17 @@ def grams(ids: np.ndarray, words: int, frequent: Frequent | None) -> tuple[np.nd
     return (parts[0] << 32) | parts[1], (parts[2] << 32) | parts[3]
 
 
+def own(hi: np.ndarray, lo: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys of phrases of so many words and how often each is there; hi may be sorted in place."""
+    if words == 2:  # the other half is nothing
+        hi.sort()
+    else:
+        order = np.lexsort((lo, hi))
+        hi, lo = hi[order], lo[order]
+    new = np.flatnonzero(np.append(True, (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1]))[: len(hi)])
+    return hi[new], lo[new], np.diff(np.append(new, len(hi)))
+
+
 def runs(hi: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys of sorted runs and their sums."""
     new = np.flatnonzero(np.append(True, (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1]))[: len(hi)])
@@ -190,13 +203,14 @@ def _counted(encoded: DataFrame, words: int, least: int, frequent, edges, partit
         known = frequent.value if frequent is not None else None
         kept, size = [], 0
 
-        def flush() -> pd.DataFrame:
-            hi, lo = (np.concatenate([k[i] for k in kept]) if kept else np.empty(0, np.int64) for i in (0, 1))
+        def flush() -> Iterator[pd.DataFrame]:
+            both = [np.concatenate([k[i] for k in kept]) if kept else np.empty(0, np.int64) for i in (0, 1)]
             kept.clear()
-            order = np.argsort(hi, kind="stable") if words == 2 else np.lexsort((lo, hi))
-            hi, lo, n = runs(hi[order], lo[order], np.ones(len(hi), np.int64))
-            where = place(hi >> 32, hi & 0xFFFFFFFF, *edges) if len(hi) else np.empty(0)
-            return pd.DataFrame({"part": np.minimum(where * partitions, partitions - 1).astype(np.int32), "hi": hi, "lo": lo, "n": n})
+            every = own(both.pop(0), both.pop(), words)
+            for at in range(0, len(every[0]), SENT):
+                hi, lo, n = (x[at : at + SENT] for x in every)
+                where = place(hi >> 32, hi & 0xFFFFFFFF, *edges)
+                yield pd.DataFrame({"part": np.minimum(where * partitions, partitions - 1).astype(np.int32), "hi": hi, "lo": lo, "n": n})
 
         for batch in batches:
             for ids in map(np.asarray, batch["ids"]):
@@ -204,9 +218,9 @@ def _counted(encoded: DataFrame, words: int, least: int, frequent, edges, partit
                     kept.append(grams(ids[at : at + IDS + words - 1], words, known))
                     size += len(kept[-1][0])
                     if size > held:
-                        yield flush()
+                        yield from flush()
                         size = 0
-        yield flush()
+        yield from flush()
 
     def all_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last = None  # the run that the next batch may go on with
@@ -250,7 +264,7 @@ def _wide(c: Column | str) -> Column:
     return F.col(c).cast("decimal(20,0)") if isinstance(c, str) else c.cast("decimal(20,0)")
 
 
-def phrase_counts(docs: DataFrame, least: int, dictionary_rows: int, pruning_rows: int, held: int = 1 << 21) -> tuple[DataFrame, DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, least: int, dictionary_rows: int, pruning_rows: int, held: int = 1 << 20) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Totals (lang, n), dictionary (lang, word, n, id) and phrases (hi, lo, words, a) of the frequent words and phrases."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -260,7 +274,7 @@ def phrase_counts(docs: DataFrame, least: int, dictionary_rows: int, pruning_row
     folder = f"{shared_dir(spark).rstrip('/')}/collocations-{uuid.uuid4().hex}"
     encode(rows, dictionary).write.parquet(folder)
     encoded, edges = spark.read.parquet(folder), bounds(dictionary)
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # a sort holds its whole partition
     found, shorter, keys = [], None, []
     for n in range(2, MOST_WORDS + 1):
         found.append(cut(_counted(encoded, n, least, shorter, edges, partitions, held)))

@@ -1,6 +1,7 @@
 """Collocations against SQL on awkward rows, by both encodings and without pruning, and the keys on their own."""
 
 import random
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -60,3 +61,22 @@ def test_long_texts_are_cut_between_words():
     text = "One two,three. four\n" * 50
     whole = [w for block in P.tokens(text) for w in block]
     assert [w for block in P.tokens(text, 7) for w in block] == whole and whole[:5] == [b"one", b"two", b".", b"three", b"."]
+
+
+def test_what_a_task_holds_is_bounded_and_small_holdings_change_nothing(spark, monkeypatch):
+    data = rows()
+    df = spark.createDataFrame([(*r, 1, "w", 2) for r in data], SCHEMA).repartition(2)
+    monkeypatch.setattr(P, "SENT", 100)
+    monkeypatch.setattr(P, "IDS", 50)
+    found = P.phrase_counts(df, 30, 1_000_000, 4_000_000, held=300)[2]
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, P.phrase_counts(df, 30, 1_000_000, 4_000_000)[2].collect()))
+
+
+def test_own_runs_equal_counts():
+    rng = np.random.default_rng(1)
+    for words in (2, 3, 4):
+        hi, lo = rng.integers(1, 30, 5000) << 32 | 3, rng.integers(1, 5, 5000) * (words > 2)
+        expected = Counter(zip(hi.tolist(), lo.tolist()))
+        made = P.own(hi, lo, words)
+        assert list(zip(*(x.tolist() for x in made[:2]))) == sorted(expected) and dict(zip(zip(*(x.tolist() for x in made[:2])), made[2].tolist())) == expected
+        assert [len(x) for x in P.own(np.empty(0, np.int64), np.empty(0, np.int64), words)] == [0, 0, 0]
