@@ -36,11 +36,15 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     n = max(1, len(split) - shingle + 1)
     starts, ends = (stops - lengths)[:n].tolist(), stops[-n:].tolist()
     one = xxhash.xxh64_intdigest
-    hashes = np.fromiter((one(joined[a:b], seed) for a, b in zip(starts, ends, strict=True)), np.uint64, n)
+    return voted(np.fromiter((one(joined[a:b], seed) for a, b in zip(starts, ends, strict=True)), np.uint64, n))
+
+
+def voted(hashes: np.ndarray) -> int:
+    """The fingerprint of some hashes: bits that are set in over half of them."""
     votes = np.zeros(64, np.int64)
-    for at in range(0, n, 1 << 16):
+    for at in range(0, len(hashes), 1 << 16):
         votes += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * votes > n, bitorder="little").view(np.int64)[0])
+    return int(np.packbits(2 * votes > len(hashes), bitorder="little").view(np.int64)[0])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 import numpy as np
 
 import corpus_pipeline
-from shoalspark.llm import jaccard
+from shoalspark.llm import jaccard, simhash
 
 
 def _sets(texts):
@@ -55,3 +55,19 @@ def test_rows_that_share_an_id_are_told_apart(spark):
     docs = spark.createDataFrame([(1, b), (2, a), (2, b), (2, "something else altogether"), (None, a), (None, "alone without an id"), (None, "alone without an id")], "doc_id long, text string")
     kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
     assert sorted(kept, key=str) == sorted([(1, b), (2, a), (2, "something else altogether"), (None, "alone without an id")], key=str)
+
+
+def test_simhash_trees_find_what_lies_within_their_radius(spark):
+    rng = np.random.default_rng(5)
+    texts = []
+    for k in range(60):
+        one = [f"w{v}" for v in rng.integers(0, 5000, 400)]
+        texts += [" ".join(one), " ".join([*one[:k], f"x{k}", *one[k + 1 :]])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    fps = [simhash.voted(jaccard.shingles(t)) for t in texts]
+    within = [bin((a ^ b) & (1 << 64) - 1).count("1") <= simhash.RADIUS for a, b in zip(fps[::2], fps[1::2], strict=True)]
+    roots = {r.doc_id: r.root for r in jaccard.near_duplicates(docs, bands=0).collect()}
+    assert sum(within) > 10 and [roots[2 * k] == roots[2 * k + 1] for k in range(60)] == within
+    assert len(set(roots.values())) == len(texts) - sum(within)
+    roots = {r.doc_id: r.root for r in jaccard.near_duplicates(docs).collect()}
+    assert len(set(roots.values())) == 60
