@@ -5,10 +5,12 @@ Huffman tree of the training words' bytes. Predictors know how often each decisi
 the place in the word, the last one to four bytes, the whole word so far. Their log odds are mixed twice: by weights that
 gates choose (what is known of the contexts, or place and depth), learnt online over all training words, each occurrence
 predicted from the counts of all others; then by the text itself: it starts with several ways to weigh the two mixers and
-trusts each as it has foretold the words so far.
+trusts each as it has foretold the words so far. That spells a word; before, it is decided whether the word is the one that
+the words before lead to, by a mixer that learns online over the training texts and goes on in the text (word_contexts).
 
-The corpus is read twice. The first time gives the counts of its words; decision counts and weights are learnt from that
-table, which grows with the corpus. The second time, decisions are worked out once for each different word of a batch.
+The corpus is read three times. The first time gives the counts of its words; decision counts and weights of spelling are
+learnt from that table, which grows with the corpus. The second time gives what follows the contexts of words. The third time,
+spelling is worked out once for each different word of a batch, and decisions on words for every one.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import word_contexts
 from .common import cut, dealt_anew_text
 
 #: Contexts: the place in the word, so many bytes before, and the word so far. The last is learnt from words that recur, and
@@ -164,8 +167,8 @@ def learn(model: Model, words: list[bytes], times: np.ndarray, weights: list[np.
     """One online step of both mixers over some words, which occur so many times; each is predicted without itself."""
     d = model.tables.decisions(words)
     own, each = d.side.astype(np.float32), np.repeat(times, np.diff(np.append(0, d.ends)))
-    other, totals, x = 1 - own, [], np.empty((len(own), INPUTS), np.float32)
-    x[:, -1] = 0.3
+    other, totals, x = 1 - own, [], np.empty((INPUTS, len(own)), np.float32)
+    x[-1] = 0.3
     for k, slot in enumerate(d.slots):
         n0, n1 = model.no.take(slot), model.yes.take(slot)
         if k < len(d.slots) - 1:
@@ -175,14 +178,17 @@ def learn(model: Model, words: list[bytes], times: np.ndarray, weights: list[np.
             n0, n1 = (n0 - other * itself) * there, (n1 - own * itself) * there
         np.maximum(n0, 0, out=n0)
         np.maximum(n1, 0, out=n1)
-        x[:, k] = np.clip(stretched(n0, n1), -MOST, MOST)
+        np.clip(stretched(n0, n1), -MOST, MOST, out=x[k])
         totals.append(n0 + n1)
     # Occurrences count by their square root: a step follows common words most, but not them alone.
     count = np.sqrt(each).astype(np.float32)
     for w, gate in zip(weights, gates(level(totals[5]), level(totals[4]), d), strict=True):
-        error = count * (own - 1 / (1 + np.exp(-np.clip((x * w[gate]).sum(1), -MOST, MOST))))
+        out = x[0] * w[:, 0].take(gate)
+        for k in range(1, INPUTS):
+            out += x[k] * w[:, k].take(gate)
+        error = count * (own - 1 / (1 + np.exp(-np.clip(out, -MOST, MOST))))
         seen = np.bincount(gate, count, len(w))
-        step = np.stack([np.bincount(gate, error * x[:, k], len(w)) for k in range(INPUTS)], 1)
+        step = np.stack([np.bincount(gate, error * x[k], len(w)) for k in range(INPUTS)], 1)
         w += (rate * step / np.maximum(seen, 1e-9)[:, None] * (seen > 0)[:, None]).astype(np.float32)
 
 
@@ -228,7 +234,7 @@ class Scorer:
         starts = np.append(0, d.symbol_ends[:-1])
         return np.stack([-np.add.reduceat(np.log(1 + np.exp(np.float32(-a) * x[0] + np.float32(-b) * x[1])), starts, dtype=np.float64) for a, b in WAYS], 1)
 
-    def logs(self, words: list[bytes], step: int = 2_000) -> np.ndarray:
+    def logs(self, words: list[bytes], step: int = 4_000) -> np.ndarray:
         """Natural log probability of each word by each way of weighing the mixers.
 
         In sorted order a word's start is often the one before's, and is worked out once.
@@ -270,23 +276,24 @@ class Numbers(dict):
 
 
 class Held:
-    """Log probabilities and counts of words: of the first limit words for a worker's life, of others for a batch."""
+    """Log probabilities, counts and hashes of words: of the first limit words for a worker's life, of others for a batch."""
 
     def __init__(self, scorer: Scorer, times: dict[bytes, int], limit: int = 1 << 19):
         self.scorer, self.times, self.limit = scorer, times, limit
-        self.numbers, self.logs, self.counts = Numbers(), np.empty((0, len(WAYS))), np.empty(0)
+        self.numbers, self.logs, self.counts, self.hashes = Numbers(), np.empty((0, len(WAYS))), np.empty(0), np.empty(0, np.uint64)
 
     def look(self, words: list[bytes]) -> np.ndarray:
-        """Numbers of the words, which are rows of logs and counts until the next look."""
+        """Numbers of the words, which are rows of logs, counts and hashes until the next look."""
         if len(self.numbers) > self.limit:
             kept, self.numbers = list(self.numbers)[: self.limit], Numbers()
             self.numbers.update(zip(kept, range(self.limit), strict=True))
-            self.logs, self.counts = self.logs[: self.limit], self.counts[: self.limit]
+            self.logs, self.counts, self.hashes = self.logs[: self.limit], self.counts[: self.limit], self.hashes[: self.limit]
         ids = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
         new, get = self.numbers.new, self.times.get
         if new:
             self.logs = np.concatenate([self.logs, self.scorer.logs(new)])
             self.counts = np.append(self.counts, [get(w, 0) for w in new])
+            self.hashes = np.append(self.hashes, word_contexts.hashes_of(new))
             self.numbers.new = []
         return ids
 
@@ -303,11 +310,11 @@ def trusted(logs: np.ndarray) -> np.ndarray:
 _HELD: dict[str, Held] = {}
 
 
-def _held(name: str, model: tuple[Scorer, dict[bytes, int]]) -> Held:
+def _held(name: str, scorer: Scorer, times: dict[bytes, int]) -> Held:
     """One for the life of a worker and the model of that name."""
     if name not in _HELD:
         _HELD.clear()
-        _HELD[name] = Held(*model)
+        _HELD[name] = Held(scorer, times)
     return _HELD[name]
 
 
@@ -449,10 +456,12 @@ def score_documents(docs: DataFrame, common_words: int = 1 << 17, chunk: int = 1
     n, distinct = total[0], total[1]
     below = n + 0.5 * (distinct + 1)
     known = common(vocab, common_words)
-    sent, name = spark.sparkContext.broadcast((Scorer(train(vocab, distinct)), known)), uuid.uuid4().hex
+    mixer = word_contexts.train(rows.where("not held_out"), n)
+    sent, name = spark.sparkContext.broadcast((Scorer(train(vocab, distinct)), known, mixer)), uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = _held(name, sent.value)
+        scorer, times, mixer = sent.value
+        held = _held(name, scorer, times)
         for whole in batches:
             for at in range(0, len(whole), chunk):
                 batch = whole.iloc[at : at + chunk]
@@ -460,13 +469,14 @@ def score_documents(docs: DataFrame, common_words: int = 1 << 17, chunk: int = 1
                 words, sizes = [w for t in texts for w in t], np.fromiter(map(len, texts), np.int64, len(texts))
                 first, ids = np.cumsum(sizes) - sizes, held.look(words)
                 c = held.counts[ids]
+                logs = word_contexts.combined(held.logs[ids], *mixer.look(held.hashes[ids], sizes))
                 # Words without a count at hand, once for each text: the first place of each and how often it occurs.
                 key, place, n = np.unique((np.repeat(np.arange(len(texts)), sizes)[c == 0] << 32) | ids[c == 0], return_index=True, return_counts=True)
                 rare, n, cuts = as_text([words[i] for i in np.flatnonzero(c == 0)[place].tolist()]), n.tolist(), np.searchsorted(key, np.arange(len(texts) + 1) << 32).tolist()
                 yield pd.DataFrame({
                     "row": batch["row"].to_numpy(), "doc_id": batch["doc_id"].to_numpy(), "held_out": batch["held_out"].to_numpy(), "n_tokens": sizes, "n_known": np.add.reduceat((c > 0).astype(np.int64), first),
                     "base": np.add.reduceat(np.where(c > 0, np.log10((c + 0.5) / below), 0), first), "rest": [rare[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], "times": [n[a:b] for a, b in zip(cuts, cuts[1:], strict=False)],
-                    "score": trusted(np.add.reduceat(held.logs[ids], first)) / np.log(10), "bytes": [sum(map(len, t)) + len(t) for t in texts],
+                    "score": trusted(np.add.reduceat(logs, first)) / np.log(10), "bytes": [sum(map(len, t)) + len(t) for t in texts],
                 })
 
     scored = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "held_out")
