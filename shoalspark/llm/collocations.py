@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,16 +87,49 @@ def numbered(frequent: DataFrame) -> DataFrame:
     return ordered.join(F.broadcast(before), F.col("part") == F.col("p")).select("lang", "word", "n", (F.col("start") + F.col("row")).cast("int").alias("id"))
 
 
-def encoded_in_tasks(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """ids: arrays of the texts of one lang, with 0 between pieces; each ends with a text. The dictionary goes to all tasks."""
-    rows = dictionary.select("lang", "word", "id").toPandas()
+#: What a Python worker has read from the shared folder last, by its place; it holds one such thing at a time.
+_HELD: dict[str, object] = {}
+
+
+def _written(df: DataFrame, folder: str, files: int = 8) -> str:
+    """folder, with df's rows as Parquet for tasks to read: nothing of them goes through the driver."""
+    df.coalesce(files).write.parquet(folder)
+    return folder
+
+
+def _columns(folder: str, *names: str) -> Iterator[list[pa.Array]]:
+    """The columns of each batch of rows that _written has left in folder."""
+    from pyarrow.dataset import dataset
+    from pyarrow.fs import FileSystem
+
+    store, root = FileSystem.from_uri(folder)
+    for batch in dataset(root, filesystem=store, format="parquet").to_batches(columns=list(names), use_threads=False):
+        yield [batch[n] for n in names]
+
+
+def _in_worker(place: str | None, make: Callable[[], object] | None = None):
+    """make(), once in each worker while tasks ask for the same place; what was held for another goes first."""
+    if place not in _HELD:
+        _HELD.clear()
+        if place is None:
+            return None
+        _HELD[place] = make()
+    return _HELD[place]
+
+
+def _dictionary(folder: str) -> dict[str, dict[bytes, int]]:
     of: dict[str, dict[bytes, int]] = {}
-    for lang, word, number in zip(rows["lang"], rows["word"], rows["id"], strict=True):
-        of.setdefault(lang, {})[word.encode()] = number
-    sent = docs.sparkSession.sparkContext.broadcast(of)
+    for lang, word, number in _columns(folder, "lang", "word", "id"):
+        for of_lang, w, n in zip(lang.to_pylist(), word.cast(pa.binary()).to_pylist(), number.to_pylist(), strict=True):
+            of.setdefault(of_lang, {})[w] = n
+    return of
+
+
+def encoded_in_tasks(docs: DataFrame, folder: str) -> DataFrame:
+    """ids: arrays of the texts of one lang, with 0 between pieces; each ends with a text. All tasks read the dictionary that lies in folder."""
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = sent.value
+        known = _in_worker(folder, lambda: _dictionary(folder))
         for batch in batches:
             for lang, texts in batch.groupby("lang")["text"]:
                 get, made, size = known.get(lang, {}).get, [], 0
@@ -164,6 +198,16 @@ class Frequent:
         return (two[:-1] >= 0) & (self._find(self.three, key) >= 0)
 
 
+def _keys(folder: str) -> tuple[np.ndarray, np.ndarray]:
+    parts = [[c.to_numpy() for c in columns] for columns in _columns(folder, "hi", "lo")]
+    return tuple(np.concatenate([np.empty(0, np.int64), *(p[i] for p in parts)]) for i in (0, 1))
+
+
+def _frequent(folders: tuple[str, ...]) -> Frequent:
+    """Of the keys of two and, if there is a second folder, of three words."""
+    return Frequent(_keys(folders[0])[0], *[np.stack(_keys(f), 1) for f in folders[1:]])
+
+
 def grams(ids: np.ndarray, words: int, frequent: Frequent | None) -> tuple[np.ndarray, np.ndarray]:
     """Both halves of the keys of all phrases of so many words that may be frequent."""
     ids = ids.astype(np.int64)
@@ -196,11 +240,11 @@ def runs(hi: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.
     return hi[new], lo[new], np.add.reduceat(n, new) if len(new) else n
 
 
-def _counted(encoded: DataFrame, words: int, least: int, frequent, edges, partitions: int, held: int) -> DataFrame:
-    """hi, lo, a of the phrases of so many words with at least so many occurrences."""
+def _counted(encoded: DataFrame, words: int, least: int, shorter: tuple[str, ...], edges, partitions: int, held: int) -> DataFrame:
+    """hi, lo, a of the phrases of so many words with at least so many occurrences; shorter are the folders of the keys that prune, if any."""
 
     def own_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = frequent.value if frequent is not None else None
+        known = _in_worker(" ".join(shorter) or None, lambda: _frequent(shorter))
         kept, size = [], 0
 
         def flush() -> Iterator[pd.DataFrame]:
@@ -270,18 +314,18 @@ def phrase_counts(docs: DataFrame, least: int, dictionary_rows: int, pruning_row
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     words = cut(_words(rows, 200_000).where(F.col("word").isNull() | (F.col("n") >= least)))
     totals, dictionary = words.where("word is null").select("lang", "n"), cut(numbered(words.where("word is not null")))
-    encode = encoded_in_tasks if dictionary.count() <= dictionary_rows else encoded_by_join
     folder = f"{shared_dir(spark).rstrip('/')}/collocations-{uuid.uuid4().hex}"
-    encode(rows, dictionary).write.parquet(folder)
-    encoded, edges = spark.read.parquet(folder), bounds(dictionary)
+    small = dictionary.count() <= dictionary_rows
+    ids = encoded_in_tasks(rows, _written(dictionary.select("lang", "word", "id"), f"{folder}/words")) if small else encoded_by_join(rows, dictionary)
+    ids.write.parquet(f"{folder}/ids")
+    encoded, edges = spark.read.parquet(f"{folder}/ids"), bounds(dictionary)
     partitions = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # a sort holds its whole partition
-    found, shorter, keys = [], None, []
+    found, shorter = [], ()
     for n in range(2, MOST_WORDS + 1):
         found.append(cut(_counted(encoded, n, least, shorter, edges, partitions, held)))
-        # Frequent phrases that are too many to send are not used to prune: all longer ones are counted then.
-        keys.append(found[-1].select("hi", "lo").toPandas().to_numpy(np.int64).reshape(-1, 2) if len(keys) == n - 2 and found[-1].count() <= pruning_rows else None)
-        usable = keys[-1] is not None and all(k is not None for k in keys)
-        shorter = spark.sparkContext.broadcast(Frequent(keys[0][:, 0], *keys[1:2])) if usable and n < MOST_WORDS else None
+        # Frequent phrases that are too many to hold are not used to prune: all longer ones are counted then.
+        usable = len(shorter) == n - 2 and n < MOST_WORDS and found[-1].count() <= pruning_rows
+        shorter = (*shorter, _written(found[-1].select("hi", "lo"), f"{folder}/keys{n}")) if usable else ()
     delete_folder(spark, folder)
     phrases = found[0].withColumn("words", F.lit(2))
     for n, f in enumerate(found[1:], 3):
@@ -296,8 +340,8 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, covered: int
     at that cut, the smallest over all cuts, the earliest of equal ones. Phrases inside a longer frequent phrase that has
     covered percent of their occurrences or more are left out. Equal scores go by a, then by the bytes of the phrase. A null
     lang is "und", null and empty texts have no words, repeated rows count each, an empty table gives no rows. Only lang
-    and text are read. Dictionaries above dictionary_rows are joined instead of sent, and more than pruning_rows phrases
-    prune nothing; the result is the same.
+    and text are read. Dictionaries above dictionary_rows are joined instead of read by all tasks, and more than pruning_rows
+    phrases prune nothing; the result is the same. Neither words nor phrases go through the driver.
     """
     totals, dictionary, phrases = phrase_counts(docs, least, dictionary_rows, pruning_rows)
     zero = F.lit(0).cast("long")
@@ -315,7 +359,7 @@ def collocations(docs: DataFrame, least: int = 30, top: int = 2000, covered: int
     stay = F.col("longer").isNull() | (_wide("longer") * 100 < _wide("a") * covered)
     left = cut(scored.where(stay).select("hi", "lo", "words", "a", "cut"))
     numbers = _by_length(lambda n: F.array(*[F.struct(F.lit(k).alias("at"), _number(k).cast("int").alias("number")) for k in range(n)]), lengths)
-    spelled = left.select("hi", "lo", F.explode(numbers).alias("x")).join(if_small(dictionary), F.col("x.number") == F.col("id"))
+    spelled = left.select("hi", "lo", F.explode(numbers).alias("x")).join(dictionary, F.col("x.number") == F.col("id"))
     spelled = spelled.groupBy("hi", "lo").agg(F.first("lang").alias("lang"), F.sort_array(F.collect_list(F.struct("x.at", "word"))).alias("w"))
     texts = spelled.select("hi", "lo", "lang", F.array_join(F.transform("w", lambda x: x["word"]), " ").alias("phrase"))
     rows = left.join(texts, ["hi", "lo"]).join(if_small(totals.select(F.col("lang").alias("of"), "n")), F.col("lang") == F.col("of"))

@@ -80,3 +80,18 @@ def test_own_runs_equal_counts():
         made = P.own(hi, lo, words)
         assert list(zip(*(x.tolist() for x in made[:2]))) == sorted(expected) and dict(zip(zip(*(x.tolist() for x in made[:2])), made[2].tolist())) == expected
         assert [len(x) for x in P.own(np.empty(0, np.int64), np.empty(0, np.int64), words)] == [0, 0, 0]
+
+
+def test_words_and_phrases_do_not_pass_the_driver(spark, monkeypatch):
+    data = rows()
+    df = spark.createDataFrame([(*r, 1, "w", 2) for r in data], SCHEMA).repartition(5)
+    taken = []
+    for name in ("toPandas", "collect", "toArrow"):
+        whole = getattr(type(df), name)
+        monkeypatch.setattr(type(df), name, lambda self, whole=whole, **options: taken.extend(self.columns) or whole(self, **options))
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: taken.append("broadcast"))
+    found = P.collocations(df)
+    assert not {"word", "hi", "lo", "broadcast"} & set(taken), taken
+    assert found._jdf.queryExecution().analyzed().toString().count("ResolvedHint") <= 1  # the totals of languages
+    monkeypatch.undo()
+    assert [tuple(r) for r in found.orderBy("lang", "rank").collect()] == by_sql(data)
