@@ -1,9 +1,9 @@
 """Exact nearest neighbours over a k-d partition, and nearest sites (Voronoi cells) as their case in the plane.
 
-Points of a group are dealt to the leaves of a k-d tree, whose cuts come from a bounded sample; the cuts only say where
-rows are searched, not what is found. A query is first answered by its own leaf, which bounds the distance of its last
-neighbour, and then asks just the leaves whose boxes lie within that bound. Leaves with more rows than a task should hold
-are parted once more by chance. No task sees a whole group, however large.
+Points of a group are dealt to the leaves of a k-d tree, whose cuts are medians of all rows, found a level at a time; the
+cuts only say where rows are searched, not what is found. A query is first answered by its own leaf, which bounds the
+distance of its last neighbour, and then asks just the leaves whose boxes lie within that bound. Leaves with more rows than
+a task should hold are parted once more by chance. No task sees a whole group, however large.
 """
 
 from __future__ import annotations
@@ -18,37 +18,30 @@ from pyspark.sql.window import Window
 
 from .lineage import cut
 
-SAMPLE = 1 << 17
-
 
 class Tree:
     """Cuts of one group: heap of (feature, value); leaves are numbered by their place in the heap."""
 
-    def __init__(self, sample: np.ndarray, depth: int):
+    def __init__(self):
         self.cuts: dict[int, tuple[int, float]] = {}
-        todo = [(1, sample, 0)]
-        while todo:
-            node, rows, level = todo.pop()
-            if level >= depth or len(rows) < 2:
-                continue
-            spread = rows.max(0) - rows.min(0)
-            feature = int(np.argmax(spread))
-            if spread[feature] <= 0:
-                continue
-            at = float(np.median(rows[:, feature]))
-            left = rows[:, feature] <= at
-            if left.all():
-                at = float(rows[rows[:, feature] < at, feature].max())
-                left = rows[:, feature] <= at
-            self.cuts[node] = feature, at
-            todo += [(2 * node, rows[left], level + 1), (2 * node + 1, rows[~left], level + 1)]
+
+    def cut(self, node: int, low: np.ndarray, middle: np.ndarray, high: np.ndarray) -> None:
+        """Parts a node at the middle of its widest feature; rows that are all alike stay together."""
+        with np.errstate(invalid="ignore"):
+            spread = np.nan_to_num(high - low)
+        feature = int(np.argmax(spread))
+        if spread[feature] > 0:
+            at = middle[feature] if middle[feature] < high[feature] else low[feature] / 2 + high[feature] / 2
+            self.cuts[node] = feature, float(at if low[feature] <= at < high[feature] else low[feature])
 
     def leaf(self, rows: np.ndarray) -> np.ndarray:
-        at = np.ones(len(rows), np.int64)
-        for node in sorted(self.cuts):
-            feature, value = self.cuts[node]
-            here = at == node
-            at[here] = 2 * node + (rows[here, feature] > value)
+        at, inner = np.ones(len(rows), np.int64), np.array(sorted(self.cuts), np.int64)
+        feature, value = (np.array([self.cuts[n][i] for n in inner.tolist()]) for i in (0, 1))
+        todo = np.arange(len(rows)) if len(inner) else np.empty(0, int)
+        while len(todo):
+            cut = np.minimum(np.searchsorted(inner, at[todo]), len(inner) - 1)
+            todo, cut = todo[inner[cut] == at[todo]], cut[inner[cut] == at[todo]]
+            at[todo] = 2 * at[todo] + (rows[todo, feature[cut]] > value[cut])
         return at
 
 
@@ -94,26 +87,33 @@ def nearest_rows(queries: DataFrame, points: DataFrame, k: int, by: list[str], f
     p, q = cut(some(points, "p_id")), cut(some(queries, "q_id"))
     sizes = p.groupBy("g").agg(F.count(F.lit(1)).alias("rows"))
     large = {r["g"]: r["rows"] for r in sizes.where(F.col("rows") > leaf_rows).collect()}  # at most rows / leaf_rows groups
-    trees: dict[str, Tree] = {}
-    if large:
-        share = min(1.0, SAMPLE / sum(large.values()))
-        sample = p.join(F.broadcast(queries.sparkSession.createDataFrame([(g,) for g in large], "of string")), F.col("g") == F.col("of"), "left_semi").where(F.rand(1) < share).select("g", "f").toPandas()
-        for g, own in sample.groupby("g"):
-            trees[g] = Tree(np.stack(own["f"].to_numpy()), int(np.ceil(np.log2(large[g] / leaf_rows))))
-    session = queries.sparkSession
-    sent = session.sparkContext.broadcast(trees)
-
-    @F.pandas_udf("long")
-    def leaf(g: pd.Series, f: pd.Series) -> pd.Series:
-        at = np.ones(len(g), np.int64)
-        for name, own in pd.Series(np.arange(len(g))).groupby(g.to_numpy()):
-            if name in sent.value:
-                rows = own.to_numpy()
-                at[rows] = sent.value[name].leaf(np.stack(f.to_numpy()[rows]))
-        return pd.Series(at)
-
+    trees, session, width = {g: Tree() for g in large}, queries.sparkSession, len(features)
+
+    def placed():
+        """The leaf of each row by the cuts that there are."""
+        sent = session.sparkContext.broadcast(trees)
+
+        @F.pandas_udf("long")
+        def leaf(g: pd.Series, f: pd.Series) -> pd.Series:
+            at = np.ones(len(g), np.int64)
+            for name, own in pd.Series(np.arange(len(g))).groupby(g.to_numpy()):
+                if name in sent.value:
+                    rows = own.to_numpy()
+                    at[rows] = sent.value[name].leaf(np.stack(f.to_numpy()[rows]))
+            return pd.Series(at)
+
+        return leaf
+
+    depth = {g: int(np.ceil(np.log2(rows / leaf_rows))) for g, rows in large.items()}
+    for level in range(max(depth.values(), default=0)):
+        # Every row of a large group counts for its cuts; a node is a row here, and there are rows / leaf_rows of them at most.
+        deep = session.createDataFrame([(g,) for g, d in depth.items() if d > level], "of string")
+        rows = p.join(F.broadcast(deep), F.col("g") == F.col("of"), "left_semi").withColumn("node", placed()("g", "f")).where(F.col("node") >= 1 << level)
+        ends = [F.array(*[fn(F.get("f", F.lit(i))) for i in range(width)]).alias(n) for n, fn in (("low", F.min), ("middle", lambda c: F.percentile_approx(c, 0.5)), ("high", F.max))]
+        for r in rows.groupBy("g", "node").agg(*ends).collect():
+            trees[r["g"]].cut(r["node"], *(np.array(r[n], float) for n in ("low", "middle", "high")))
+    leaf = placed()
     p = cut(p.withColumn("leaf", leaf("g", "f")))
-    width = len(features)
     boxes = cut(p.groupBy("g", "leaf").agg(F.count(F.lit(1)).alias("rows"), *[fn(F.get("f", F.lit(i))).alias(f"{n}{i}") for i in range(width) for n, fn in (("lo", F.min), ("hi", F.max))]))
     parts = boxes.select("g", "leaf", F.ceil(F.col("rows") / (4 * leaf_rows)).cast("int").alias("parts"))
     pieces = p.join(parts.where("parts > 1"), ["g", "leaf"], "left").withColumn("part", F.pmod(F.xxhash64("p_id"), F.coalesce("parts", F.lit(1)))).select("g", "leaf", "part", "p_id", "f")
