@@ -83,3 +83,17 @@ def test_shared_areas_are_those_of_the_overlay(spark):
             both, rest = (O.area(O.pieces([p], [q], rule)) for rule in ("intersection", "difference"))
             assert got.get((i, j), (0.0, rest)) == (pytest.approx(both, abs=1e-9), pytest.approx(rest, abs=1e-9))
     assert got[3, 2] == (15.0, 0.0)
+
+
+def test_a_crowded_tile_is_not_copied_over_and_over(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    places, corners = rng.random((3000, 2)) * 10, rng.random((1000, 2)) * 8
+    p = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(places)], "id long, x double, y double").repartition(3)
+    rings = spark.createDataFrame([(k, float(x), float(y)) for k, (x, y) in enumerate(corners)], "poly_id long, u double, v double")
+    boxes = rings.select("poly_id", Y.rectangle(F.col("u"), F.col("v"), F.col("u") + 1, F.col("v") + 1).alias("ring"))
+    sent, dealt = [], Y._dealt
+    monkeypatch.setattr(Y, "_dealt", lambda *a: sent.append(dealt(*a)) or sent[-1])
+    got = [tuple(r) for r in Y.within(p, boxes, 10.0, 50).select("id", "poly_id").collect()]
+    inside = (places[:, None] > corners[None]).all(2) & (places[:, None] < corners[None] + 1).all(2)
+    assert sorted(got) == list(zip(*(k.tolist() for k in np.nonzero(inside)), strict=True))
+    assert len(sent) == 2 and sum(df.count() for df in sent) <= 2 * (3000 + 1000)
